@@ -223,5 +223,6 @@ class Tracker:
         )
         return self.ml_mart().join(views, "key").select(
             "key", "split", "issuetype", "resolution", "priority", "status", "reporter",
-            "summary_clean", "text_noco", "text_rich", *C.CHANGE_FEATURES, "vec_a", "vec_b",
+            "summary_clean", "description_clean", "comments_concat", "text_noco", "text_rich",
+            *C.CHANGE_FEATURES, "vec_a", "vec_b",
         )

@@ -78,7 +78,7 @@ def main() -> int:
             df = build(spark, folder)
             note = compare(df, con, statements[name]) if name in statements else f"(no SQL) rows {df.count()}"
         except Exception as error:  # report and go on
-            note = f"ERROR {str(error)[:1500]}"
+            note = "ERROR " + str(error).split("\n")[0][:400]
         failed = bool(note) and not note.startswith("(no SQL)")
         bad += failed
         print(f"{'BAD ' if failed else 'ok  '} {name} {time.time() - start:.1f}s {note}", flush=True)

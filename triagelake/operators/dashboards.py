@@ -86,7 +86,7 @@ def box_stats(times: DataFrame, by: str, value: str = "days") -> DataFrame:
     per (group, day number), so both passes read a small table."""
     counts = times.groupBy(by, value).agg(F.count("*").alias("_n"))
     marks = counts.groupBy(by).agg(
-        F.percentile(value, [0.0, 0.25, 0.5, 0.75, 1.0], "_n").alias("_p"), F.sum("_n").alias("n")
+        F.percentile(value, [0.0, 0.25, 0.5, 0.75, 1.0], F.col("_n")).alias("_p"), F.sum("_n").alias("n")
     )
     p = [F.col("_p")[i] for i in range(5)]
     fence = 1.5 * (p[3] - p[1])
@@ -181,7 +181,7 @@ def anomaly_base(changes: DataFrame, issues: DataFrame) -> DataFrame:
 def group_quantile(rows: DataFrame, by: str, value: str, q: float, name: str) -> DataFrame:
     """Interpolated quantile per group, from counts per (group, value)."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_n"))
-    return counts.groupBy(by).agg(F.percentile(value, q, "_n").alias(name))
+    return counts.groupBy(by).agg(F.percentile(value, q, F.col("_n")).alias(name))
 
 
 def anomalies(changes: DataFrame, issues: DataFrame) -> DataFrame:

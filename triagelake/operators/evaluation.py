@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from triagelake import constants as C
 from triagelake.functions import scalars as S
+from triagelake.session import materialise
 
 DRAWS_PER_TASK_ROW = 10_000
 
@@ -125,7 +126,9 @@ def bootstrap_macro_f1(
     [0, n) is looked up in the running totals of the confusion cells instead of
     in the rows. Draws are made in short runs spread over the cluster and counted
     per cell where they are made. Labels of a group stay fixed over its
-    replicates; one that was not drawn scores 0."""
+    replicates; one that was not drawn scores 0. The counts are read several times,
+    so they are stored first: a few rows, instead of the whole job before them."""
+    counts = materialise(counts, "confusion")
     order = Window.partitionBy(*by).orderBy("true_label", "pred_label")
     cells = counts.withColumn("_hi", F.sum("n").over(order)).withColumn(
         "_cell", F.row_number().over(order) - 1

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triagelake.plans import registry
 from triagelake.plans import tables as _tables  # noqa: F401  registers its queries
+from triagelake.plans import triage as _triage  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

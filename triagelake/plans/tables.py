@@ -50,14 +50,11 @@ def _tolerant_rows(t: Tracker) -> DataFrame:
     bad = F.col("event_type") == "error"
     fields = [F.col(c).cast("string") for c in ("event_id", "event_type", "user_id", "value")]
     line = F.when(bad, F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields))
-    lines = t.table("events").select(line.alias("value"))
-    lines.write.option("lineSep", "\n").text(path)
-    reader = t.spark.read.schema(raw_files.csv_schema(4)).options(
-        mode="PERMISSIVE", columnNameOfCorruptRecord=raw_files.CORRUPT)
-    rows = raw_files.null_out(reader.csv(path))
+    t.table("events").select(line.alias("value")).write.text(path)
+    rows = raw_files.read_raw_csv(t.spark, path, 4, multi_line=False, header=False)
     good, bad_rows = raw_files.split_quarantine(rows)
     return good.select(F.col("c1").alias("event_id"), F.lit("good").alias("outcome"), F.col("c3").alias("user_id")).unionByName(
-        bad_rows.select(F.substring_index(raw_files.CORRUPT, ",", 1).alias("event_id"), F.lit("quarantine").alias("outcome"),
+        bad_rows.select(F.col("c1").alias("event_id"), F.lit("quarantine").alias("outcome"),
                         F.lit(None).cast("string").alias("user_id")))
 
 

@@ -31,15 +31,16 @@ def null_out(df: DataFrame, tokens: Sequence[str] = tuple(C.NULL_TOKENS)) -> Dat
 
 def read_raw_csv(
     spark: SparkSession, path: str | list[str], width: int, null_tokens: Sequence[str] = tuple(C.NULL_TOKENS),
-    multi_line: bool = True,
+    multi_line: bool = True, header: bool = True,
 ) -> DataFrame:
     """All columns as strings c1..cN plus the raw text of a row that does not fit.
 
     Texts hold line breaks, so a file is read by one task; deliver many files and
-    turn them into Parquet once. With ``multi_line=False`` plain files split."""
+    turn them into Parquet once. With ``multi_line=False`` plain files split. Rows
+    are always parsed in full: a pruned parse would not notice missing fields."""
     reader = spark.read.schema(csv_schema(width)).options(
-        header=True, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8", mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
+        header=header, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8", mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT, enforceSchema=True, columnPruning=False,
     )
     return null_out(reader.csv(path), null_tokens)
 

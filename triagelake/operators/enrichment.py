@@ -49,10 +49,12 @@ def term_bucket(term: Column, dims: int) -> Column:
 
 def hashed_weights(df: DataFrame, text: str, dims: int = 256) -> DataFrame:
     """Default vectors without a model: words hashed to ``dims`` buckets, tf-idf
-    weights, unit length; non-zero entries as key, bucket, weight. The idf table has
-    at most ``dims`` rows, which bounds the broadcast."""
+    weights, unit length; non-zero entries as key, bucket, weight. Texts are spread
+    by key once; counting, weighting and the norm then stay where the text is. The
+    idf table has at most ``dims`` rows, which bounds the broadcast."""
     counts = (
-        df.select("key", F.explode(X.tokens(F.col(text))).alias("_term"))
+        df.select("key", text).repartition("key")
+        .select("key", F.explode(X.tokens(F.col(text))).alias("_term"))
         .groupBy("key", term_bucket(F.col("_term"), dims).alias("bucket"))
         .agg(F.count("*").alias("tf"))
     )

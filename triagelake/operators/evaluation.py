@@ -141,12 +141,12 @@ def bootstrap_macro_f1(
     ).repartition("replicate", "_from")
     upto = F.least(F.col("_from") + DRAWS_PER_TASK_ROW, F.col("_n")) - 1
 
-    def cell_of(draw: Column) -> Column:
-        at = draw_index(F.col("replicate"), draw, F.col("_n"))
-        return F.size(F.filter("_bounds", lambda hi: hi <= at))
+    # drawn first, looked up second: inside one lambda every comparison would hash again
+    at = F.transform(F.sequence("_from", upto), lambda draw: draw_index(F.col("replicate"), draw, F.col("_n")))
+    found = F.transform(at, lambda x: F.size(F.filter("_bounds", lambda hi: hi <= x)))
 
     drawn = (
-        runs.select(*by, "replicate", F.explode(F.transform(F.sequence("_from", upto), cell_of)).alias("_cell"))
+        runs.select(*by, "replicate", F.explode(found).alias("_cell"))
         .groupBy(*by, "replicate", "_cell")
         .agg(F.count("*").alias("n"))
         .join(cells.select(*by, "_cell", "true_label", "pred_label"), [*by, "_cell"])

@@ -57,8 +57,7 @@ def clean_issues(issues: DataFrame, split_bounds: Sequence[str] = C.SPLIT_BOUNDS
             X.clean_ticket_text(F.col("summary")).alias("summary"),
             X.clean_ticket_text(F.col("description")).alias("description"),
             S.capped_days(F.col("created_at"), F.col("resolved_at")).alias("resolution_days"),
-            X.text_length(F.col("summary")).alias("summary_length"),
-            X.text_length(F.col("description")).alias("description_length"),
+            "summary_length", "description_length",
             S.temporal_split(F.col("created_at"), split_bounds).alias("split"),
         )
     )

@@ -13,6 +13,7 @@ from triagelake import constants as C
 from triagelake.functions import scalars as S
 from triagelake.functions import text as X
 from triagelake.operators import grid, retrieval
+from triagelake.session import materialise
 
 
 def tokenised(df: DataFrame, text: str) -> DataFrame:
@@ -28,10 +29,12 @@ def corpus_stats(docs: DataFrame) -> Column:
 
 def inverse_frequencies(docs: DataFrame) -> DataFrame:
     """term, idf. Counting is combined in the map tasks, so a word found in every
-    document costs one row per task. A negative idf becomes a share of the mean."""
+    document costs one row per task. A negative idf becomes a share of the mean. The
+    counts are stored: one row per word, read twice, instead of two corpus passes."""
     n = corpus_stats(docs)["n"]
-    df = docs.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(
-        F.count("*").alias("df")
+    df = materialise(
+        docs.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df")),
+        "document-frequency",
     )
     raw = df.select("term", (F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
     floor = raw.agg(C.BM25_EPSILON * F.avg("raw_idf")).scalar()

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from triagelake import constants as C
 from triagelake.functions import scalars as S
+from triagelake.functions import text as X
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -27,11 +28,11 @@ def only_known_keys(df: DataFrame, keys: DataFrame, key: str = "key") -> DataFra
 
 def stage_issues(raw: DataFrame, project: str | None, formats: Sequence[str] | None = None) -> DataFrame:
     """Typed issues of one project (None: all), one row per key. ``id`` is text
-    and sorts as text; creation time and summary break ties."""
+    and sorts as text; creation time and summary break ties. The raw text lengths
+    are taken ahead of the exchange: readers of lengths never move the texts."""
     if project is not None:
         raw = raw.where(F.col("project_key") == project)
-    raw = keep_first(raw, ["key"], ["id", "created", "summary"])
-    return raw.select(
+    typed = raw.select(
         F.col("id").alias("issue_id"),
         "key",
         "summary",
@@ -48,7 +49,10 @@ def stage_issues(raw: DataFrame, project: str | None, formats: Sequence[str] | N
         "creator",
         S.try_long(F.col("votes_votes")).alias("votes"),
         S.try_long(F.col("watches_watchcount")).alias("watches"),
+        X.text_length(F.col("summary")).alias("summary_length"),
+        X.text_length(F.col("description")).alias("description_length"),
     )
+    return keep_first(typed, ["key"], ["issue_id", "created_at", "summary"])
 
 
 def type_comments(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFrame:

@@ -54,7 +54,11 @@ def tally(scores: DataFrame, by: Sequence[str]) -> DataFrame:
     order = F.sort_array(F.collect_list(F.struct(-F.col("label_score"), F.col("best_rk"), F.col("label"), F.col("label_score"))))
     return (
         scores.groupBy(*by)
-        .agg(order.alias("_o"), F.sum("label_score").alias("total"), F.count("*").alias("div"))
+        .agg(
+            order.alias("_o"),
+            S.round_half_up(F.sum("label_score"), grid.SCORE_DECIMALS).alias("total"),
+            F.count("*").alias("div"),
+        )
         .select(
             *by,
             F.col("_o")[0]["label"].alias("label"),

@@ -317,7 +317,7 @@ def vote(source: str, by: str = "query_key", weight: str = "weight", label: str
     return f"""
 SELECT {by}, max(CASE WHEN rnk = 1 THEN {label} END) AS label, max(CASE WHEN rnk = 1 THEN label_score END) AS top1,
   coalesce(max(CASE WHEN rnk = 2 THEN label_score END), 0.0::DOUBLE) AS top2, max(total) AS total, count(*) AS div
-FROM (SELECT *, sum(label_score) OVER (PARTITION BY {by}) AS total,
+FROM (SELECT *, {rnd(f'sum(label_score) OVER (PARTITION BY {by})', 9)} AS total,
   row_number() OVER (PARTITION BY {by} ORDER BY label_score DESC, best_rk, {label}) AS rnk
   FROM (SELECT {by}, {label}, {rnd(f'sum({weight})', 9)} AS label_score, min(rk) AS best_rk FROM {source} GROUP BY ALL))
 GROUP BY ALL"""

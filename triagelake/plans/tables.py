@@ -217,7 +217,7 @@ query("p17_excerpt", lambda t: t.cleaned().select("key", S.excerpt(F.col("summar
       "SELECT key, left(summary, 80) AS e80, left(description, 100) AS e100 FROM int_issues")
 query("p18_filled_features", lambda t: t.ml_mart().select("key", *[F.col(c).cast("double").alias(c) for c in C.CHANGE_FEATURES]),
       f"SELECT key, {', '.join(f'{c}::DOUBLE AS {c}' for c in C.CHANGE_FEATURES)} FROM mart_ml")
-query("p19_flags", lambda t: D.anomaly_base(t.change_features(), t.cleaned()).select(
+query("p19_flags", lambda t: D.anomaly_base(t.all_change_features(), t.cleaned()).select(
     "key", "flag_high_churn", "flag_escalation_reversed", "flag_many_people"),
     "SELECT key, flag_high_churn, flag_escalation_reversed, flag_many_people FROM anomaly_base")
 query("p20_safe_ratio", lambda t: t.change_features().select("key", S.round_half_up(
@@ -245,9 +245,9 @@ SELECT key, issuetype, priority, year(created_at) AS year_created, least(resolut
 WHERE resolved_at IS NOT NULL AND issuetype IN ('Bug', 'Task') AND priority IN ('Major', 'Minor', 'Blocker') AND year(created_at) BETWEEN 1996 AND 1999
 """)
 _flag_sql = "concat_ws(', ', " + ", ".join(f"CASE WHEN {c} = 1 THEN {q(n)} END" for c, n in C.ANOMALY_LABELS) + ")"
-query("p29_flag_names", lambda t: D.anomalies(t.change_features(), t.cleaned()).select("key", S.flag_names().alias("anomalies")),
+query("p29_flag_names", lambda t: D.anomalies(t.all_change_features(), t.cleaned()).select("key", S.flag_names().alias("anomalies")),
       f"SELECT key, {_flag_sql} AS anomalies FROM anomalies")
-query("p30_any_flag", lambda t: D.anomalies(t.change_features(), t.cleaned()).where(
+query("p30_any_flag", lambda t: D.anomalies(t.all_change_features(), t.cleaned()).where(
     S.any_flag(["flag_high_churn", "flag_outlier_resolution"])).select("key", "resolution_days"),
     "SELECT key, resolution_days FROM anomalies WHERE greatest(flag_high_churn, flag_outlier_resolution) = 1")
 query("p31_guidance", lambda t: t.cleaned().select(
@@ -298,7 +298,7 @@ SELECT a.key, a.change_order, a.prank, b.prank AS next_rank FROM priority_events
 JOIN priority_events b ON a.key = b.key AND b.change_order = a.change_order + 1
 """)
 query("j5_first_assignee", lambda t: t.change_features().select("key", "first_assignee"), "SELECT key, first_assignee FROM int_changelog")
-query("j6_links_with_issues", lambda t: t.links_mart().join(t.cleaned().select("key", "issuetype", "resolution"), "key").select(
+query("j6_links_with_issues", lambda t: t.all_links_mart().join(t.cleaned().select("key", "issuetype", "resolution"), "key").select(
     "key", "n_links_total", "issuetype", "resolution"), """
 SELECT l.key, l.n_links_total, i.issuetype, i.resolution FROM mart_links l JOIN int_issues i ON l.key = i.key
 """)
@@ -318,7 +318,7 @@ def _hit_or_miss(t: Tracker) -> DataFrame:
 
 
 query("j12_cache_split", _hit_or_miss, f"SELECT i.key, c.fix_summary FROM int_issues i LEFT JOIN {CACHE_SQL} c ON c.key = i.key")
-query("j13_group_stat_join", lambda t: D.anomalies(t.change_features(), t.cleaned()).select("key", "issuetype", *rounded(6, "p99"), "flag_outlier_resolution"),
+query("j13_group_stat_join", lambda t: D.anomalies(t.all_change_features(), t.cleaned()).select("key", "issuetype", *rounded(6, "p99"), "flag_outlier_resolution"),
       f"SELECT key, issuetype, {rnd('p99', 6)} AS p99, flag_outlier_resolution FROM anomalies")
 
 # --- aggregates --------------------------------------------------------------------------------
@@ -383,10 +383,10 @@ SELECT bin, n, {rnd('lo + bin * (hi - lo) / 50', 6)} AS low_edge FROM (SELECT lo
 FROM {_TIMES}, (SELECT min(days)::DOUBLE AS lo, max(days)::DOUBLE AS hi FROM {_TIMES}) GROUP BY ALL)
 """)
 query("a19_count_of_counts", lambda t: D.count_of_counts(t.change_features()), "SELECT n_assignee_changes, count(*) AS n_tickets FROM int_changelog GROUP BY 1")
-query("a20_group_quantile", lambda t: D.group_quantile(D.anomaly_base(t.change_features(), t.cleaned()), "issuetype", "resolution_days", 0.99, "p99").select("issuetype", *rounded(6, "p99")),
+query("a20_group_quantile", lambda t: D.group_quantile(D.anomaly_base(t.all_change_features(), t.cleaned()), "issuetype", "resolution_days", 0.99, "p99").select("issuetype", *rounded(6, "p99")),
       f"SELECT issuetype, {rnd('quantile_cont(resolution_days, 0.99)', 6)} AS p99 FROM anomaly_base GROUP BY 1")
 query("a22_distinct_values", lambda t: t.cleaned().select("issuetype", "priority").distinct(), "SELECT DISTINCT issuetype, priority FROM int_issues")
-query("a24_monthly_anomalies", lambda t: D.monthly_anomalies(t.change_features(), t.cleaned()).select(day("month"), "high_churn", "escalation_reversed", "many_people"), f"""
+query("a24_monthly_anomalies", lambda t: D.monthly_anomalies(t.all_change_features(), t.cleaned()).select(day("month"), "high_churn", "escalation_reversed", "many_people"), f"""
 SELECT {DAY.format("date_trunc('month', created_at)")} AS month, sum(flag_high_churn)::BIGINT AS high_churn,
   sum(flag_escalation_reversed)::BIGINT AS escalation_reversed, sum(flag_many_people)::BIGINT AS many_people FROM anomaly_base GROUP BY 1
 """)
@@ -413,7 +413,7 @@ LEFT JOIN (SELECT a.key, a.prank AS before, b.prank AS after FROM priority_event
   ON a.key = b.key AND b.change_order = a.change_order + 1
   UNION ALL SELECT key, frank, prank FROM priority_events WHERE change_order = 1) s ON s.key = c.key GROUP BY c.key
 """)
-query("o1_anomaly_table", lambda t: D.anomaly_table(D.anomalies(t.change_features(), t.cleaned())).withColumn("year_created", F.col("year_created").cast("bigint")), f"""
+query("o1_anomaly_table", lambda t: D.anomaly_table(D.anomalies(t.all_change_features(), t.cleaned())).withColumn("year_created", F.col("year_created").cast("bigint")), f"""
 SELECT key, issuetype, resolution, priority, year_created::BIGINT AS year_created, resolution_days, n_status_changes, n_assignee_changes,
   n_people_involved, {_flag_sql} AS anomalies, summary_excerpt FROM anomalies
 WHERE greatest(flag_high_churn, flag_escalation_reversed, flag_many_people, flag_outlier_resolution) = 1
@@ -423,7 +423,7 @@ SELECT assignee, n_assigned, n_fixed, avg_resolution_days, top_issuetype AS domi
 WHERE n_assigned >= 5 ORDER BY n_assigned DESC, assignee LIMIT 20
 """)
 for _name, _column in (("o2_most_duplicated", "n_duplicates"), ("o2_most_blocked", "n_blocked_by")):
-    query(_name, lambda t, c=_column: D.top_linked(t.links_mart(), t.cleaned(), c), f"""
+    query(_name, lambda t, c=_column: D.top_linked(t.all_links_mart(), t.cleaned(), c), f"""
 SELECT l.key, l.{_column}, i.issuetype, i.resolution, left(i.summary, 80) AS summary_excerpt FROM mart_links l
 JOIN int_issues i ON l.key = i.key WHERE l.{_column} > 0 ORDER BY l.{_column} DESC, l.key LIMIT 20
 """)
@@ -431,7 +431,7 @@ query("u1_link_totals", lambda t: D.link_totals(t.links_mart()), " UNION ALL ".j
     f"SELECT {q(n)} AS type_name, sum({c})::BIGINT AS n_links FROM mart_links" for n, c in
     [("Duplicate", "n_duplicates"), ("Blocks", "n_blocks"), ("Blocked By", "n_blocked_by"), ("Relates", "n_relates")]))
 _MONTH = DAY.format("date_trunc('month', created_at)")
-query("u2_anomalies_long", lambda t: D.monthly_anomalies_long(D.monthly_anomalies(t.change_features(), t.cleaned())).select(day("month"), "anomaly", "n"), " UNION ALL ".join(
+query("u2_anomalies_long", lambda t: D.monthly_anomalies_long(D.monthly_anomalies(t.all_change_features(), t.cleaned())).select(day("month"), "anomaly", "n"), " UNION ALL ".join(
     f"SELECT {_MONTH} AS month, {q(n)} AS anomaly, sum({c})::BIGINT AS n FROM anomaly_base GROUP BY 1"
     for n, c in [("High churn", "flag_high_churn"), ("Escalation reversed", "flag_escalation_reversed"), ("Many people", "flag_many_people")]))
 
@@ -447,9 +447,9 @@ query("u4_inline_labels", _label_use, f"""
 SELECT v.issuetype, v.place, count(i.key) AS n FROM (VALUES {values([(n, i) for i, n in enumerate(C.ISSUE_TYPES)])}) v(issuetype, place)
 LEFT JOIN int_issues i ON i.issuetype = v.issuetype GROUP BY 1, 2
 """)
-query("m32_anomalies", lambda t: D.anomalies(t.change_features(), t.cleaned()).select("key", "resolution_days", *D.FLAGS),
+query("m32_anomalies", lambda t: D.anomalies(t.all_change_features(), t.cleaned()).select("key", "resolution_days", *D.FLAGS),
       f"SELECT key, resolution_days, {', '.join(D.FLAGS)} FROM anomalies")
-query("m32_anomaly_totals", lambda t: D.anomaly_totals(D.anomalies(t.change_features(), t.cleaned())), """
+query("m32_anomaly_totals", lambda t: D.anomaly_totals(D.anomalies(t.all_change_features(), t.cleaned())), """
 SELECT sum(greatest(flag_high_churn, flag_escalation_reversed, flag_many_people, flag_outlier_resolution))::BIGINT AS n_any,
   sum(flag_high_churn)::BIGINT AS n_high_churn, sum(flag_escalation_reversed)::BIGINT AS n_escalation_reversed,
   sum(flag_outlier_resolution)::BIGINT AS n_outlier_resolution, sum(flag_many_people)::BIGINT AS n_many_people FROM anomalies

@@ -27,13 +27,18 @@ def get_session(app: str = "triagelake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``. Only where
-    the cluster names none (local runs, tests) a temporary folder is set."""
+    the session names none (local runs, tests) a temporary folder stands in."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="triagelake-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_DIRS:
+            _OWN_DIRS[app] = tempfile.mkdtemp(prefix="triagelake-")
+        configured = _OWN_DIRS[app]
     return configured.rstrip("/")
 
 

@@ -62,20 +62,27 @@ class Tracker:
         lines = self.table("lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", *order)
         return staging.keep_first(lines, ["l_orderkey"], order)
 
+    def line_facts(self) -> DataFrame:
+        """Supplier and flags of the first line and the last ship date per order, in
+        one pass that is combined in the map tasks."""
+        order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+        first = F.struct("l_suppkey", F.concat("l_returnflag", "l_linestatus").alias("flags"))
+        return (
+            self.table("lineitem")
+            .groupBy("l_orderkey")
+            .agg(F.min_by(first, order).alias("_first"), F.max("l_shipdate").alias("last_ship"))
+            .select("l_orderkey", "_first.*", "last_ship")
+        )
+
     def raw_issues(self) -> DataFrame:
         orders = self.table("orders")
-        ends = self.table("lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
-        first = self.first_lines().select(
-            "l_orderkey", "l_suppkey", F.concat("l_returnflag", "l_linestatus").alias("flags")
-        )
         customers = self.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
         suppliers = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
         documents = self.table("documents").select("doc_id", "text")
         n_docs = self.table("documents").agg(F.max("doc_id") + 1).scalar()
         joined = (
             orders.withColumnRenamed("o_orderkey", "l_orderkey")
-            .join(first, "l_orderkey", "left")
-            .join(ends, "l_orderkey", "left")
+            .join(self.line_facts(), "l_orderkey", "left")
             .withColumn("doc_id", F.pmod("l_orderkey", n_docs))
             .join(customers, "o_custkey", "left")
             .join(suppliers, "l_suppkey", "left")
@@ -184,11 +191,18 @@ class Tracker:
 
     # --- marts ---------------------------------------------------------------
 
+    def all_change_features(self) -> DataFrame:
+        """For readers that join the issues themselves."""
+        return features.change_features(staging.type_changelog(self.raw_changelog()))
+
+    def all_links_mart(self) -> DataFrame:
+        return marts.links_mart(features.link_features(staging.type_links(self.raw_links())))
+
     # the left joins drop unknown keys, so the features skip their own filter
 
-    def ml_mart(self) -> DataFrame:
+    def ml_mart(self, issues: DataFrame | None = None) -> DataFrame:
         return marts.ml_mart(
-            self.cleaned(),
+            self.cleaned() if issues is None else issues,
             features.comment_features(staging.type_comments(self.raw_comments())),
             features.change_features(staging.type_changelog(self.raw_changelog())),
             features.link_features(staging.type_links(self.raw_links())),
@@ -221,7 +235,9 @@ class Tracker:
             unit(F.slice("embedding", 1, 32)).alias("vec_a"),
             unit(F.slice("embedding", 33, 32)).alias("vec_b"),
         )
-        return self.ml_mart().join(views, "key").select(
+        # only tickets with a vector go through cleaning and the wide join
+        wanted = staging.only_known_keys(self.cleaned(), views)
+        return self.ml_mart(wanted).join(views, "key").select(
             "key", "split", "issuetype", "resolution", "priority", "status", "reporter",
             "summary_clean", "description_clean", "comments_concat", "text_noco", "text_rich",
             *C.CHANGE_FEATURES, "vec_a", "vec_b",

@@ -185,11 +185,11 @@ def group_quantile(rows: DataFrame, by: str, value: str, q: float, name: str) ->
 
 
 def anomalies(changes: DataFrame, issues: DataFrame) -> DataFrame:
-    """Base rows plus p99 of their type and the outlier flag. Issue types are a
-    vocabulary of nine, which bounds the broadcast."""
+    """Base rows plus p99 of their type and the outlier flag. The quantiles are one
+    row per type, small enough for the optimizer to broadcast at run time."""
     base = anomaly_base(changes, issues)
     p99 = group_quantile(base, "issuetype", "resolution_days", 0.99, "p99")
-    return base.join(F.broadcast(p99), "issuetype").withColumn(
+    return base.join(p99, "issuetype").withColumn(
         "flag_outlier_resolution", S.flag(F.col("resolution_days") >= F.col("p99"))
     )
 

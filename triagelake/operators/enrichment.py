@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from triagelake import constants as C
 from triagelake.functions import scalars as S
 from triagelake.functions import text as X
+from triagelake.session import ship_package
 
 Encoder = Callable[[list[str]], np.ndarray]
 Responder = Callable[[list[str]], list[str | None]]
@@ -38,6 +39,7 @@ def embed(
             v = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
             yield pd.DataFrame({"key": batch["key"], name: list(v)})
 
+    ship_package(df.sparkSession)
     return df.select("key", X.with_query_prefix(value, prefix).alias("_text")).mapInPandas(
         run, f"key string, {name} array<float>"
     )
@@ -232,6 +234,7 @@ def answer(df: DataFrame, prompt: str, make_responder: Callable[[], Responder],
             out[name] = responder(batch[prompt].tolist())
             yield out
 
+    ship_package(df.sparkSession)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name != prompt)
     return df.mapInPandas(run, f"{fields}, {name} string")
 

@@ -18,6 +18,7 @@ from triagelake import constants as C
 from triagelake.functions import scalars as S
 from triagelake.functions import text as X
 from triagelake.operators.staging import only_known_keys
+from triagelake.session import materialise
 
 # --- labels --------------------------------------------------------------------
 
@@ -31,15 +32,17 @@ def consolidate_labels(
     type_seed: DataFrame | None = None,
     resolution_seed: DataFrame | None = None,
 ) -> DataFrame:
-    """Add issuetype (unknown -> Other) and resolution (unknown -> NULL). The
-    seeds are fixed lists of 22 and 15 rows, which bounds the broadcast."""
-    types = type_seed or seed_frame(issues, C.ISSUE_TYPE_SEED, ("issuetype_raw", "issuetype"))
-    resolutions = resolution_seed or seed_frame(
-        issues, C.RESOLUTION_SEED, ("resolution_raw", "resolution")
-    )
+    """Add issuetype (unknown -> Other) and resolution (unknown -> NULL). The own
+    seeds are fixed lists of 22 and 15 rows, which bounds their broadcast; a
+    caller's seed is left to the optimizer's size check."""
+    types, resolutions = type_seed, resolution_seed
+    if types is None:
+        types = F.broadcast(seed_frame(issues, C.ISSUE_TYPE_SEED, ("issuetype_raw", "issuetype")))
+    if resolutions is None:
+        resolutions = F.broadcast(seed_frame(issues, C.RESOLUTION_SEED, ("resolution_raw", "resolution")))
     return (
-        issues.join(F.broadcast(types), "issuetype_raw", "left")
-        .join(F.broadcast(resolutions), "resolution_raw", "left")
+        issues.join(types, "issuetype_raw", "left")
+        .join(resolutions, "resolution_raw", "left")
         .withColumn("issuetype", F.coalesce("issuetype", F.lit("Other")))
     )
 
@@ -228,8 +231,12 @@ def event_order(changes: DataFrame, field: str = "PRIORITY") -> DataFrame:
         "_slice", F.spark_partition_id()
     )
     inside = Window.partitionBy("_slice", "key").orderBy(*_nulls_last(EVENT_ORDER))
-    placed = sliced.withColumn("_rn", F.row_number().over(inside)).withColumn(
-        "_end", F.lead(F.lit(1)).over(inside).isNull()
+    # stored, because both readers below must see the same slices
+    placed = materialise(
+        sliced.withColumn("_rn", F.row_number().over(inside)).withColumn(
+            "_end", F.lead(F.lit(1)).over(inside).isNull()
+        ),
+        "event-slices",
     )
     # the last row of a slice carries its size: one row per (key, slice)
     sizes = placed.where("_end").select("key", "_slice", F.col("_rn").alias("_n"))

@@ -19,8 +19,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-QUERY_BLOCK_ROWS = 20_000
-CORPUS_BLOCK_ROWS = 50_000
+from triagelake.session import ship_package
+
+# a block of 1024-element vectors in two views is 80 / 320 MB of doubles
+QUERY_BLOCK_ROWS = 5_000
+CORPUS_BLOCK_ROWS = 20_000
 SMALL_BLOCK_ROWS = 2_000
 # doubles in one score matrix inside a task (64 MB)
 SCORE_CELLS = 8_000_000
@@ -45,6 +48,7 @@ def on_grid(
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Run ``cell(query block, corpus block)`` on every block pair."""
+    ship_package(queries.sparkSession)
     n_query = block_count(sized_by if sized_by is not None else queries.select(query_key), query_rows)
     n_corpus = block_count(corpus.select(key), corpus_rows)
 

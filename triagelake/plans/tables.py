@@ -3,8 +3,6 @@ dashboards and data checks."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +14,14 @@ from triagelake.operators import enrichment as N
 from triagelake.operators import features, marts, quality, staging
 from triagelake.plans.oracle_base import NL, case, clean, pct, q, rnd, strings, values
 from triagelake.plans.registry import DAY, STAMP, day, long, query, rounded, sides, stamp
-from triagelake.session import shared_dir
+from triagelake.session import scratch_path
 from triagelake.sources import bindings as B
 from triagelake.sources import raw_files, tables
 from triagelake.sources.bindings import Tracker
 
 
 def scratch(t: Tracker, name: str) -> str:
-    return f"{shared_dir(t.spark)}/triagelake/{name}-{uuid.uuid4().hex}"
+    return scratch_path(t.spark, name)
 
 
 # --- sources and sinks ---------------------------------------------------------------

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +44,32 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever they start. Done
+    once per application, ahead of the first function that runs in a worker."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="triagelake-")) / "triagelake_package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(app)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path per use; all of an application lie in one folder."""
+    return f"{shared_dir(spark)}/triagelake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back. Cuts
     the lineage, survives lost executors and keeps column pruning for readers."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/triagelake/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

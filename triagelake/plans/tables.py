@@ -12,6 +12,7 @@ from triagelake.functions import text as X
 from triagelake.operators import dashboards as D
 from triagelake.operators import enrichment as N
 from triagelake.operators import features, marts, quality, staging
+from triagelake.plans import jobs
 from triagelake.plans.oracle_base import NL, case, clean, pct, q, rnd, strings, values
 from triagelake.plans.registry import DAY, STAMP, day, long, query, rounded, sides, stamp
 from triagelake.session import scratch_path
@@ -479,21 +480,10 @@ _SUITE_BLOCKS = {
 }
 
 
-def suite_tables(t: Tracker) -> dict[str, DataFrame]:
-    return {
-        "stg_issues": t.issues(), "stg_comments": t.comments(), "stg_changelog": t.changelog(), "stg_issuelinks": t.links(),
-        "int_issues_cleaned": t.cleaned(), "int_comments_aggregated": t.comment_features(),
-        "int_changelog_features": t.change_features(), "int_issuelinks_features": t.link_features(),
-        "mart_ml": t.ml_mart(), "mart_analytics_ops": t.ops_mart(), "mart_analytics_workload": t.workload_mart(),
-        "mart_analytics_links": t.links_mart(),
-    }
-
-
-def _stored_suite(t: Tracker) -> DataFrame:
-    """The checks run on stored tables, as after a build."""
-    root = scratch(t, "layers")
-    stored = {n: tables.write_table(df, root, "CHECKED", n) for n, df in suite_tables(t).items()}
-    return quality.run_suite(stored, project=B.PROJECT)
+def _built_suite(t: Tracker) -> DataFrame:
+    """The checks on the tables of a whole build, each stored once and read back."""
+    raw = {"issues": t.raw_issues(), "comments": t.raw_comments(), "changelog": t.raw_changelog(), "issuelinks": t.raw_links()}
+    return quality.run_suite(jobs.build(raw, scratch(t, "layers"), B.PROJECT, B.SPLIT_BOUNDS), project=B.PROJECT)
 
 
 def _suite_sql() -> str:
@@ -514,4 +504,4 @@ def _suite_sql() -> str:
     return "SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (" + " UNION ALL ".join(parts) + ")"
 
 
-query("q6_suite", _stored_suite, _suite_sql())
+query("q6_suite", _built_suite, _suite_sql())

@@ -6,7 +6,6 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from triagelake.operators import evaluation as E
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from triagelake import constants as C
 from triagelake.operators import grid, lexical, retrieval, voting
-from triagelake.functions import text as X
 
 VECTORS = "key string, vec_a array<double>, vec_b array<double>, priority string"
 

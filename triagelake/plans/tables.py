@@ -14,7 +14,7 @@ from triagelake.operators import enrichment as N
 from triagelake.operators import features, marts, quality, staging
 from triagelake.plans import jobs
 from triagelake.plans.oracle_base import NL, case, clean, pct, q, rnd, strings, values
-from triagelake.plans.registry import DAY, STAMP, day, long, query, rounded, sides, stamp
+from triagelake.plans.registry import DAY, STAMP, day, long, query, rounded, stamp
 from triagelake.session import scratch_path
 from triagelake.sources import bindings as B
 from triagelake.sources import raw_files, tables
@@ -180,8 +180,7 @@ SELECT key, least(coalesce(date_diff('day', created_at, resolved_at), 0), 5000)
   least(coalesce(date_diff('day', created_at, resolved_at), 0), 365) AS days_365 FROM stg_issues
 """)
 query("p11_temporal_split", lambda t: t.cleaned().select("key", "split"), "SELECT key, split FROM int_issues")
-_ranked = staging.type_changelog
-query("p12_priority_rank", lambda t: _ranked(t.raw_changelog()).where(F.upper("field") == "PRIORITY").select(
+query("p12_priority_rank", lambda t: staging.type_changelog(t.raw_changelog()).where(F.upper("field") == "PRIORITY").select(
     "key", stamp("created"), "to_string", S.category_rank(F.col("to_string")).alias("prank")), f"""
 SELECT key, {STAMP.format('try_cast(created AS TIMESTAMP)')} AS created, tostring AS to_string,
   CASE upper(tostring) {' '.join(f'WHEN {q(n)} THEN {r}' for n, r in C.PRIORITY_RANKS)} END AS prank

@@ -1,12 +1,55 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage gets the documents that the one before it kept, with all their columns,
+and all but the last return the columns of documents. Rows whose texts the stages
+leave alone pass through unchanged; n_chars follows a text that is cut."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from triagelake.llm import mixing, outliers, packing, repeats, simhash
 from triagelake.session import materialise
 
-STAGES = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or lie too far out go."""
+    return outliers.judged(docs, stored=False).where("kept").select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near-duplicates the document with the smallest id stays (of
+    rows with one id, the one with the shortest text)."""
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_key")
+    classes = simhash.near_duplicates(docs)
+    stay = classes.where("doc_id <=> component_id").select(key).distinct()
+    kept = docs.select(key, F.struct(*docs.columns).alias("_row"), F.struct(F.length("text"), F.xxhash64("text")).alias("_rank")).join(stay, "_key", "left_semi")
+    return kept.groupBy("_key").agg(F.min_by("_row", "_rank").alias("_row")).select("_row.*")  # the join has dealt the keys out
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats are cut out of the texts; documents of which nothing is left go."""
+    cut = repeats.cut_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stand as often as the mixture has them, in shuffled order."""
+    return mixing.replicate(docs).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules), ("simhash_dedup", simhash_dedup), ("substring_dedup", substring_dedup),
+    ("mix_sources", mix_sources), ("pack_sequences", pack_sequences),
+]
+#: SimHash, robust estimates and tokenisation have no SQL form; tests replay the stages.
 ORACLE_SQL = None
 
 

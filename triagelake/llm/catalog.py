@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import chat, mixing, repeats, simhash
+from triagelake.llm import chat, mixing, outliers, packing, repeats, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.judged(_table(spark, folder, "documents")).select("doc_id", *outliers.COUNTS, "base_failed", "kept", "distance")
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     text = F.lit("<|im_end|><|im_start|>assistant ok")
     added = spark.range(2).select(
@@ -42,6 +46,10 @@ FROM shown GROUP BY conv_id
 """
 
 
+def op4_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.replicate(_table(spark, folder, "documents"))
 
@@ -92,7 +100,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_chat_format, op6_mix_sources, op9_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (
+        op1_robust_outliers, op3_chat_format, op4_pack_sequences, op6_mix_sources, op9_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import chat, mixing, outliers, packing, repeats, simhash
+from triagelake.llm import chat, mixing, outliers, packing, repeats, simhash, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,28 @@ def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.judged(_table(spark, folder, "documents")).select("doc_id", *outliers.COUNTS, "base_failed", "kept", "distance")
 
 
+def op2_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(_table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "place")
+
+
+OP2_SQL = rf"""
+WITH base AS (
+  SELECT page_id, coalesce(html, '') AS payload, regexp_replace(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://', '') AS rest,
+         epoch(TIMESTAMP '{warc.FIRST_CAPTURE}')::BIGINT + page_id AS captured FROM pages
+), known AS (
+  SELECT *, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest, regexp_extract(rest, '^[^/?#]*') AS host FROM base
+), keyed AS (
+  SELECT *, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || substr(rest, length(host) + 1) AS url_key,
+         CASE WHEN payload_bytes >= {warc.LEAST_PAYLOAD} THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS last FROM known
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last <> page_id THEN last END AS refers_to, url_key, captured,
+       row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS place
+FROM keyed
+"""
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     text = F.lit("<|im_end|><|im_start|>assistant ok")
     added = spark.range(2).select(
@@ -101,8 +123,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_robust_outliers, op3_chat_format, op4_pack_sequences, op6_mix_sources, op9_substring_dedup, op10_simhash)}
+        op1_robust_outliers, op2_warc_index, op3_chat_format, op4_pack_sequences, op6_mix_sources, op9_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op6_mix_sources": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op2_warc_index": OP2_SQL, "op3_chat_format": OP3_SQL, "op6_mix_sources": OP6_SQL, "op9_substring_dedup": OP9_SQL}

@@ -57,7 +57,7 @@ def unpacked(data: bytes, dtype) -> np.ndarray:
 Sends = Iterator[tuple]
 
 
-def _packed_rows(rows: Sends) -> pa.Table:
+def packed_rows(rows: Sends) -> pa.Table:
     rows = list(rows)
     return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_PACKED)], schema=_PACKED)
 
@@ -65,13 +65,13 @@ def _packed_rows(rows: Sends) -> pa.Table:
 def emit(chunks: DataFrame, work: Callable[[pa.Table], Sends], answers: DataFrame | None = None) -> DataFrame:
     """Packed rows that ``work`` makes of each chunk, and of its answers where there are any."""
     if answers is None:
-        return chunks.groupBy("_to").applyInArrow(lambda t: _packed_rows(work(t)), PACKED_ROW)
-    return chunks.groupBy("_to").cogroup(answers.groupBy("_to")).applyInArrow(lambda t, more: _packed_rows(work(t, more)), PACKED_ROW)
+        return chunks.groupBy("_to").applyInArrow(lambda t: packed_rows(work(t)), PACKED_ROW)
+    return chunks.groupBy("_to").cogroup(answers.groupBy("_to")).applyInArrow(lambda t, more: packed_rows(work(t, more)), PACKED_ROW)
 
 
 def answer(rows: DataFrame, work: Callable[[pa.Table], Sends]) -> DataFrame:
     """Packed rows that ``work`` makes of the rows sent to each bucket."""
-    return rows.groupBy("_to").applyInArrow(lambda t: _packed_rows(work(t)), PACKED_ROW)
+    return rows.groupBy("_to").applyInArrow(lambda t: packed_rows(work(t)), PACKED_ROW)
 
 
 def received(table: pa.Table, column: str, dtype, kind: int | None = None) -> list[np.ndarray]:
@@ -94,15 +94,15 @@ def bucketed(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column``, of strings, has about ``limit`` bytes in each."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 22, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column``, of strings, has about ``limit`` bytes in each, and ``rows`` rows at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         text = batch.column(batch.schema.get_field_index(column))
         sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(text).to_numpy(zero_copy_only=False), np.float64))
         part = (np.cumsum(sizes) - sizes) // limit
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
+        edges = sorted({0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), *range(0, batch.num_rows, rows), batch.num_rows})
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
 

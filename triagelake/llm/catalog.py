@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import chat, hpylm, langid, mixing, outliers, packing, repeats, simhash, warc
+from triagelake.llm import chat, hpylm, langid, mixing, outliers, packing, repeats, simhash, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -103,6 +103,10 @@ def op7_pitman_yor_score(spark: SparkSession, folder: str) -> DataFrame:
     return hpylm.score(_table(spark, folder, "documents"))
 
 
+def op8_vector_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.cut_repeats(_table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", repeats.kept_digest().alias("kept_sha256"))
@@ -132,7 +136,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_robust_outliers, op2_warc_index, op3_chat_format, op4_pack_sequences, op5_language_centroids,
-        op6_mix_sources, op7_pitman_yor_score, op9_substring_dedup, op10_simhash)}
+        op6_mix_sources, op7_pitman_yor_score, op8_vector_graph, op9_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

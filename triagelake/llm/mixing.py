@@ -37,7 +37,7 @@ def tempered_weights(docs: DataFrame, exponent: float = EXPONENT) -> DataFrame:
 
 
 def repetition_rates(sizes: DataFrame, epochs: float = 1.0) -> DataFrame:
-    """(source, rate) from (source, n, weight): with ``epochs`` times the documents in all."""
+    """(source, rate) from (source, n, weight): ``epochs`` times the documents of these sources in all."""
     total = sizes.agg(F.sum("weight").alias("weights"), F.sum("n").alias("documents"))
     return sizes.crossJoin(F.broadcast(total)).where("weight > 0").select(  # one row of totals
         "source", F.round(F.col("weight") / F.col("weights") * F.col("documents") * F.lit(epochs) / F.col("n"), 9).alias("rate"))

@@ -89,9 +89,18 @@ def text_enriched(
     )
 
 
+#: Every blank of Unicode, and the separators that only some tools take for blanks.
+BLANK = r"(?U)[\s\x1c-\x1f]"
+
+
+def stripped(x: Column) -> Column:
+    """Without blanks at both ends; NULL gives the empty text."""
+    return F.regexp_replace(F.coalesce(x, F.lit("")), f"^{BLANK}+|{BLANK}+$", "")
+
+
 def tokens(x: Column) -> Column:
-    """Lower-cased words between blanks; NULL gives no words."""
-    words = F.split(F.lower(F.coalesce(x, F.lit(""))), r"\s+")
+    """Lower-cased words between blanks of any alphabet; NULL gives no words."""
+    words = F.split(F.lower(F.coalesce(x, F.lit(""))), f"{BLANK}+")
     return F.filter(words, lambda w: w != "")
 
 

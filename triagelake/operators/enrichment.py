@@ -98,13 +98,16 @@ def stale_rows(hashes: DataFrame, cache: DataFrame, model: str) -> DataFrame:
 
 
 def corpus_fingerprint(hashes: DataFrame, model: str) -> DataFrame:
-    """model, n_rows and a hash that does not depend on row order: hash values are
-    summed, which needs no sort and no single task."""
-    number = F.conv(F.substring("text_hash", 1, 15), 16, 10).cast("decimal(38,0)")
-    total = F.coalesce(F.sum(number), F.lit(0).cast("decimal(38,0)"))
-    return hashes.agg(F.count("*").alias("n_rows"), F.substring(F.sha2(total.cast("string"), 256), 1, 16).alias("corpus_hash")).select(
-        F.lit(model).alias("model"), "n_rows", "corpus_hash"
-    )
+    """model, n_rows and a hash that does not depend on row order: digests of key and
+    text hash are summed piece by piece, which needs no sort and no single task."""
+    of_row = F.sha2(F.concat_ws(":", F.coalesce("key", F.lit("")), "text_hash"), 256)
+    sums = [
+        F.coalesce(F.sum(F.conv(F.substring("_h", at, 8), 16, 10).cast("decimal(28,0)")), F.lit(0)).cast("decimal(38,0)").cast("string")
+        for at in range(1, 65, 8)
+    ]
+    return hashes.withColumn("_h", of_row).agg(
+        F.count("*").alias("n_rows"), F.substring(F.sha2(F.concat_ws(":", *sums), 256), 1, 16).alias("corpus_hash")
+    ).select(F.lit(model).alias("model"), "n_rows", "corpus_hash")
 
 
 # --- prompts -----------------------------------------------------------------------------
@@ -325,6 +328,4 @@ def triage_report(predicted: DataFrame, neighbours: DataFrame, cache: DataFrame
 
 def valid_input(summary: Column, description: Column) -> Column:
     """Tickets with enough text to classify."""
-    return (F.length(F.trim(F.coalesce(summary, F.lit("")))) >= 10) & (
-        F.length(F.trim(F.coalesce(description, F.lit("")))) >= 20
-    )
+    return (F.length(X.stripped(summary)) >= 10) & (F.length(X.stripped(description)) >= 20)

@@ -69,7 +69,10 @@ def clean_issues(issues: DataFrame, split_bounds: Sequence[str] = C.SPLIT_BOUNDS
 # --- comments --------------------------------------------------------------------
 
 
-def clean_comments(comments: DataFrame, min_chars: int = 10) -> DataFrame:
+MIN_COMMENT_CHARS = 10
+
+
+def clean_comments(comments: DataFrame, min_chars: int = MIN_COMMENT_CHARS) -> DataFrame:
     body = X.clean_ticket_text(F.col("comment_body"))
     return comments.withColumn("body", body).where(X.long_enough(F.col("body"), min_chars))
 
@@ -96,10 +99,11 @@ def joined_text(
     return heads.groupBy(*keys).agg(F.substring(F.array_join(parts, sep), 1, cut).alias(name))
 
 
-def comment_rollup(cleaned: DataFrame, cut: int = 3000) -> DataFrame:
-    """All comments of a key in time order, ' | ' between, cut; comment_id breaks ties."""
+def comment_rollup(cleaned: DataFrame, cut: int = 3000, min_chars: int = MIN_COMMENT_CHARS) -> DataFrame:
+    """All comments of a key in time order, ' | ' between, cut; comment_id breaks ties.
+    ``min_chars`` is the least length that ``cleaned`` was filtered by."""
     return joined_text(
-        cleaned, ["key"], "body", ["comment_created", "comment_id"], " | ", cut, 10, "all_comments"
+        cleaned, ["key"], "body", ["comment_created", "comment_id"], " | ", cut, min_chars, "all_comments"
     )
 
 
@@ -107,16 +111,18 @@ def comment_snippets(
     cleaned: DataFrame, first: int = 5, last: int = 3, chars: int = 400, sep: str = " || "
 ) -> DataFrame:
     """First comments plus, where a key has more, the last ones; each cut.
-    Both windows are limited per map task; a row picked twice counts once."""
+    Both windows are limited per map task. Comments are told apart by their place, not
+    by their values: a last one counts if it lies behind the first ones."""
     rows = cleaned.select("key", "comment_created", "comment_id", F.substring("body", 1, chars).alias("_v"))
-    asc = [F.col("comment_created").asc_nulls_last(), F.col("comment_id").asc_nulls_last()]
-    desc = [F.col("comment_created").desc_nulls_first(), F.col("comment_id").desc_nulls_first()]
+    names = ("comment_created", "comment_id", "_v")
     w = Window.partitionBy("key")
+    asc, desc = ([getattr(F.col(c), how)() for c in names] for how in ("asc_nulls_last", "desc_nulls_first"))
     head = rows.withColumn("_rn", F.row_number().over(w.orderBy(*asc))).where(F.col("_rn") <= first)
-    tail = rows.withColumn("_rn", F.row_number().over(w.orderBy(*desc))).where(F.col("_rn") <= last)
-    both = head.drop("_rn").union(tail.drop("_rn")).distinct()
-    late = F.col("comment_created").isNull()
-    parts = F.sort_array(F.collect_list(F.struct(late, "comment_created", "comment_id", "_v")))
+    tail = rows.withColumn("_back", F.row_number().over(w.orderBy(*desc))).where(F.col("_back") <= last)
+    sizes = rows.groupBy("key").agg(F.count("*").alias("_n"))
+    behind = tail.join(sizes, "key").where(F.col("_back") <= F.col("_n") - first).withColumn("_rn", (F.col("_n") - F.col("_back") + 1).cast("int"))
+    both = head.select("key", "_rn", "_v").unionByName(behind.select("key", "_rn", "_v"))
+    parts = F.sort_array(F.collect_list(F.struct("_rn", "_v")))
     return both.groupBy("key").agg(
         F.array_join(F.transform(parts, lambda s: s["_v"]), sep).alias("comment_snippets")
     )
@@ -131,11 +137,16 @@ def comment_stats(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def comment_features(comments: DataFrame, issues: DataFrame | None = None) -> DataFrame:
+def comment_features(
+    comments: DataFrame, issues: DataFrame | None = None, min_chars: int = MIN_COMMENT_CHARS
+) -> DataFrame:
     """Rollup and counts per key. Without ``issues`` no key is dropped: enough
-    where the result is left-joined to the issues anyway."""
-    cleaned = clean_comments(comments)
-    out = comment_rollup(cleaned).join(comment_stats(cleaned), "key")
+    where the result is left-joined to the issues anyway. The cleaned rows are
+    stored (a job), because both readers need them and cleaning is the costly part."""
+    cleaned = materialise(
+        clean_comments(comments, min_chars).select("key", "comment_id", "comment_author", "comment_created", "body"), "comments"
+    )
+    out = comment_rollup(cleaned, min_chars=min_chars).join(comment_stats(cleaned), "key")
     return out if issues is None else only_known_keys(out, issues)
 
 

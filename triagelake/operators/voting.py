@@ -105,7 +105,8 @@ def diversity_gate(
 
 
 def predictions(votes: DataFrame, queries: DataFrame) -> DataFrame:
-    """One row per query: truth, both predictions, confidence, margin and routing."""
+    """One row per query: truth, both predictions, confidence, margin and routing; NULL
+    predictions for a query without neighbours."""
     def of(target: str, value: Column, name: str) -> Column:
         return F.max(F.when(F.col("target") == target, value)).alias(name)
 
@@ -121,7 +122,7 @@ def predictions(votes: DataFrame, queries: DataFrame) -> DataFrame:
         F.col("key").alias("query_key"), F.col("issuetype").alias("true_issuetype"),
         F.col("resolution").alias("true_resolution"),
     )
-    return truth.join(wide, "query_key").select(
+    return truth.join(wide, "query_key", "left").select(
         F.col("query_key").alias("key"), "true_issuetype", "true_resolution", "pred_issuetype",
         "pred_resolution", "conf_issuetype", "conf_resolution", "routing_issuetype",
         "margin_issuetype", "routing_resolution", "margin_resolution", F.lit("").alias("fix_summary"),

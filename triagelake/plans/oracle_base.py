@@ -80,7 +80,7 @@ LEFT JOIN documents ON doc_id = o_orderkey % (SELECT max(doc_id) + 1 FROM docume
 """)
 block("raw_comments", """
 SELECT 'TKT-' || conv_id AS key, conv_id || '-' || turn AS comment_id, role AS comment_author,
-  CASE WHEN turn % 5 = 4 THEN substr(text, 1, 8) ELSE text END AS comment_body,
+  text AS comment_body,
   strftime(TIMESTAMP '2020-01-01' + to_minutes(turn), '%Y-%m-%d %H:%M:%S') AS comment_created,
   strftime(TIMESTAMP '2020-01-01' + to_minutes(turn + 60), '%Y-%m-%d %H:%M:%S') AS comment_updated
 FROM conversations

@@ -61,6 +61,15 @@ def day(x: str, name: str | None = None) -> Column:
     return F.date_format(x, "yyyy-MM-dd").alias(name or x)
 
 
+#: All blanks of Unicode, for engines whose \\s knows the ASCII ones only.
+BLANK = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WORDS = f"list_filter(string_split_regex(lower(coalesce(text, '')), '{BLANK}+'), lambda x: x <> '')"
+
+
+def stripped(x: str) -> str:
+    return f"regexp_replace(coalesce({x}, ''), '^{BLANK}+|{BLANK}+$', '', 'g')"
+
+
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 DAY = "strftime({0}, '%Y-%m-%d')"
 

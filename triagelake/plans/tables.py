@@ -12,7 +12,7 @@ from triagelake.functions import text as X
 from triagelake.operators import dashboards as D
 from triagelake.operators import enrichment as N
 from triagelake.operators import features, marts, quality, staging
-from triagelake.plans import jobs
+from triagelake.plans import jobs, registry
 from triagelake.plans.oracle_base import NL, case, clean, pct, q, rnd, strings, values
 from triagelake.plans.registry import DAY, STAMP, day, long, query, rounded, stamp
 from triagelake.session import scratch_path
@@ -228,14 +228,12 @@ query("p21_like", lambda t: t.links().where(F.upper("type_name").like("%CLONES%"
       "SELECT key, type_name, lower(type_name) AS lower_name FROM stg_links WHERE upper(type_name) LIKE '%CLONES%'")
 query("p24_tokens", lambda t: t.table("documents").select(
     "doc_id", F.size(X.tokens(F.col("text"))).cast("bigint").alias("n_words"),
-    F.md5(F.array_join(X.tokens(F.col("text")), " ")).alias("words_md5")), r"""
-SELECT doc_id, len(w) AS n_words, md5(array_to_string(w, ' ')) AS words_md5 FROM (SELECT doc_id,
-  list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS w FROM documents)
-""")
+    F.md5(F.array_join(X.tokens(F.col("text")), " ")).alias("words_md5")),
+    f"SELECT doc_id, len(w) AS n_words, md5(array_to_string(w, ' ')) AS words_md5 FROM (SELECT doc_id, {registry.WORDS} AS w FROM documents)")
 query("p25_query_prefix", lambda t: t.table("benchmark").select("item_id", X.with_query_prefix(F.col("text")).alias("asked")),
       f"SELECT item_id, {q(C.QUERY_PREFIX)} || coalesce(text, '') AS asked FROM benchmark")
-query("p27_valid_input", lambda t: t.cleaned().select("key", F.when(N.valid_input(F.col("summary"), F.col("description")), "valid").otherwise("quarantine").alias("outcome")), """
-SELECT key, CASE WHEN length(trim(summary)) >= 10 AND length(trim(description)) >= 20 THEN 'valid' ELSE 'quarantine' END AS outcome FROM int_issues
+query("p27_valid_input", lambda t: t.cleaned().select("key", F.when(N.valid_input(F.col("summary"), F.col("description")), "valid").otherwise("quarantine").alias("outcome")), f"""
+SELECT key, CASE WHEN length({registry.stripped('summary')}) >= 10 AND length({registry.stripped('description')}) >= 20 THEN 'valid' ELSE 'quarantine' END AS outcome FROM int_issues
 """)
 query("p28_selection", lambda t: D.selected(D.resolution_times(t.cleaned()), ["Bug", "Task"], ["Major", "Minor", "Blocker"], (1996, 1999)).select(
     "key", "issuetype", "priority", *long("year_created", "days")), """
@@ -328,9 +326,9 @@ query("a2_distinct_people", lambda t: features.comment_stats(features.clean_comm
       "SELECT key, count(*) AS n_comments, count(DISTINCT comment_author) AS n_commenters FROM clean_comments GROUP BY key")
 query("a3_comment_rollup", lambda t: t.comment_features().select("key", "all_comments"), "SELECT key, all_comments FROM int_comments")
 query("a4_comment_snippets", lambda t: features.comment_snippets(features.clean_comments(t.comments())), """
-SELECT key, string_agg(left(body, 400), ' || ' ORDER BY comment_created, comment_id) AS comment_snippets FROM (SELECT *,
-  row_number() OVER (PARTITION BY key ORDER BY comment_created, comment_id) AS up,
-  row_number() OVER (PARTITION BY key ORDER BY comment_created DESC, comment_id DESC) AS down FROM clean_comments)
+SELECT key, string_agg(left(body, 400), ' || ' ORDER BY comment_created, comment_id, left(body, 400)) AS comment_snippets FROM (SELECT *,
+  row_number() OVER (PARTITION BY key ORDER BY comment_created, comment_id, left(body, 400)) AS up,
+  row_number() OVER (PARTITION BY key ORDER BY comment_created DESC, comment_id DESC, left(body, 400) DESC) AS down FROM clean_comments)
 WHERE up <= 5 OR down <= 3 GROUP BY key
 """)
 query("a5_first_last", lambda t: t.comment_features().select("key", stamp("first_comment_at"), stamp("last_comment_at")), f"""

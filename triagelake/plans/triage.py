@@ -13,6 +13,7 @@ from triagelake.operators import ablations as A
 from triagelake.operators import enrichment as N
 from triagelake.operators import evaluation as E
 from triagelake.operators import features, lexical, retrieval, voting
+from triagelake.plans import registry
 from triagelake.plans.oracle_base import NL, block, case, clean, q, rnd, vote
 from triagelake.plans.registry import long, query, rounded, sides, vectors
 from triagelake.plans.tables import CACHE_SQL, _cache, scratch
@@ -181,7 +182,7 @@ def _asked(t: Tracker) -> DataFrame:
 
 
 def _bm25_blocks(prefix: str, docs: str, asked: str) -> None:
-    words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '')"
+    words = registry.WORDS
     block(f"{prefix}_docs", f"SELECT key, {words} AS w FROM ({docs})")
     block(f"{prefix}_tf", f"SELECT key, dl, term, count(*) AS tf FROM (SELECT key, len(w) AS dl, unnest(w) AS term FROM {prefix}_docs) GROUP BY ALL")
     block(f"{prefix}_stats", f"SELECT count(*) AS n, avg(len(w)) AS mean FROM {prefix}_docs")
@@ -638,7 +639,7 @@ query("h3_encoder_hook", _encoded, "SELECT 'D-' || doc_id AS key, " + ", ".join(
 
 # --- vectors from text --------------------------------------------------------------------------------
 
-_words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '')"
+_words = registry.WORDS
 block("bucket_tf", f"SELECT key, (('0x' || substr(md5(term), 1, 8))::BIGINT % 256)::INTEGER AS bucket, count(*) AS tf FROM (SELECT doc_id AS key, unnest({_words}) AS term FROM documents) GROUP BY ALL")
 block("bucket_w", "SELECT key, bucket, tf * ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) OVER (PARTITION BY bucket) + 1.0::DOUBLE)) AS w FROM bucket_tf")
 query("m1_hashed_vectors", lambda t: N.hashed_weights(t.table("documents").select(F.col("doc_id").alias("key"), "text"), "text").select("key", "bucket", *rounded(6, "weight")), f"""
@@ -656,8 +657,10 @@ def _stale(t: Tracker) -> DataFrame:
 
 
 query("m2_stale_rows", _stale, "SELECT 'D-' || doc_id AS key, sha256(coalesce(text, '')) AS text_hash FROM documents WHERE lang <> 'en'")
-query("m2_fingerprint", lambda t: N.corpus_fingerprint(N.text_hashes(_documents(t), "text"), "m1"), """
-SELECT 'm1' AS model, count(*) AS n_rows, substr(sha256(sum(('0x' || substr(sha256(coalesce(text, '')), 1, 15))::BIGINT::HUGEINT)::VARCHAR), 1, 16) AS corpus_hash FROM documents
+_sums = ", ".join(f"sum(('0x' || substr(h, {at}, 8))::BIGINT::HUGEINT)::VARCHAR" for at in range(1, 65, 8))
+query("m2_fingerprint", lambda t: N.corpus_fingerprint(N.text_hashes(_documents(t), "text"), "m1"), f"""
+SELECT 'm1' AS model, count(*) AS n_rows, substr(sha256(concat_ws(':', {_sums})), 1, 16) AS corpus_hash
+FROM (SELECT sha256('D-' || doc_id || ':' || sha256(coalesce(text, ''))) AS h FROM documents)
 """)
 
 # --- reports and streaming --------------------------------------------------------------------------------
@@ -708,5 +711,5 @@ def _streamed(t: Tracker) -> DataFrame:
 
 query("g1_streamed_scores", _streamed, f"""
 SELECT {', '.join('p.' + c for c in _PRED)} FROM predictions p JOIN eval_rows e ON e.key = p.key
-WHERE length(trim(e.summary_clean)) >= 10 AND length(trim(e.description_clean)) >= 20
+WHERE length({registry.stripped('e.summary_clean')}) >= 10 AND length({registry.stripped('e.description_clean')}) >= 20
 """)

@@ -121,9 +121,7 @@ class Tracker:
             _key(F.col("conv_id")).alias("key"),
             F.concat_ws("-", "conv_id", "turn").alias("comment_id"),
             F.col("role").alias("comment_author"),
-            F.when(F.col("turn") % 5 == 4, F.substring("text", 1, 8))
-            .otherwise(F.col("text"))
-            .alias("comment_body"),
+            F.col("text").alias("comment_body"),
             F.date_format(said, stamp).alias("comment_created"),
             F.date_format(edited, stamp).alias("comment_updated"),
         )

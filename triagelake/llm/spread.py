@@ -94,7 +94,7 @@ def bucketed(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 22, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column``, of strings, has about ``limit`` bytes in each, and ``rows`` rows at most."""
     for batch in batches:
         if not batch.num_rows:
@@ -105,6 +105,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 22,
         edges = sorted({0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), *range(0, batch.num_rows, rows), batch.num_rows})
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # workers are kept for later tasks
 
 
 def components(edges: DataFrame, name: str, rounds: int = 100) -> DataFrame:

@@ -17,9 +17,9 @@ from triagelake.llm.words import Words, buffer_of
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces whose ids a worker keeps.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 500_000
 #: Pieces that are encoded in one call.
-AT_ONCE = 16_384
+AT_ONCE = 4096
 
 
 class Encoder:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from triagelake.operators import dashboards, enrichment, marts, quality
@@ -111,12 +112,31 @@ def test_short_tickets_are_not_valid(spark):
 class Session:
     """Just what ``shared_dir`` reads of a session."""
 
-    def __init__(self, folder):
+    def __init__(self, folder, master="local[2]"):
         self.conf = {"spark.checkpoint.dir": folder}
-        self.sparkContext = type("Context", (), {"applicationId": f"app-{folder}"})
+        self.sparkContext = type("Context", (), {"applicationId": f"app-{folder}", "master": master})
 
 
 def test_configured_shared_folder_is_used_and_else_one_own_folder():
     assert shared_dir(Session("/shared/somewhere/")) == "/shared/somewhere"
     unset = Session(None)
     assert shared_dir(unset) == shared_dir(unset) != shared_dir(Session(""))
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"])
+def test_a_cluster_needs_a_shared_folder(master):
+    with pytest.raises(ValueError):
+        shared_dir(Session(None, master))
+    assert shared_dir(Session("hdfs:///x", master)) == "hdfs:///x"
+
+
+def test_a_job_leaves_no_scratch_folder(spark):
+    import os
+
+    from triagelake.session import job_scratch, materialise
+
+    with job_scratch(spark):
+        path = materialise(spark.range(3), "x").inputFiles()[0].removeprefix("file://")
+        folder = os.path.dirname(os.path.dirname(path))
+        assert os.path.exists(path) and "job-" in folder
+    assert not os.path.exists(folder)

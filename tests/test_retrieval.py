@@ -47,13 +47,33 @@ def brute_rrf(queries, corpus, k, top):
     return out
 
 
+@pytest.fixture(autouse=True)
+def small_batches(spark):
+    """Several batches in every run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_rows_that_leave_the_first_pass_do_not_grow_with_the_corpus(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    tables = [spark.createDataFrame([(f"k{i:04d}", rng.normal(size=4).tolist(), rng.normal(size=4).tolist()) for i in range(n)],
+                                    "key string, vec_a array<double>, vec_b array<double>") for n in (20, 100, 400)]
+    queries = tables[0]
+    cells, real = [], grid.on_grid
+    monkeypatch.setattr(grid, "on_grid", lambda *a, **more: cells.append(real(*a, **more)) or cells[-1])
+    for corpus in tables[1:]:
+        retrieval.list_heads(queries, corpus, 6, ("vec_a", "vec_b"), runs=3)
+    made = [c.count() for c in cells]
+    assert made == [20 * 2 * 3 * 6] * 2
+
+
 @pytest.mark.parametrize("seed, n, k, top, ties", [(1, 90, 5, 4, False), (2, 60, 2, 3, True), (3, 200, 60, 5, False), (4, 7, 60, 30, False)])
 def test_rrf_equals_brute_force_over_many_blocks(spark, monkeypatch, seed, n, k, top, ties):
-    monkeypatch.setattr(grid, "SMALL_BLOCK_ROWS", 1)
     queries, qdf = frame(spark, "q", 9, seed, ties=ties)
     corpus, cdf = frame(spark, "c", n, seed + 100, ties=ties)
     got = defaultdict(list)
-    for r in retrieval.rrf_top(qdf, cdf, k, top, query_rows=4, corpus_rows=17).orderBy("query_key", "rk").collect():
+    for r in retrieval.rrf_top(qdf, cdf, k, top, query_rows=4, runs=3).orderBy("query_key", "rk").collect():
         got[r.query_key].append((r.key, r.rank_a, r.rank_b))
     assert got == brute_rrf(queries, corpus, k, top)
 
@@ -68,11 +88,10 @@ def test_best_similarity_has_rank_one(spark):
 
 @pytest.mark.parametrize("boosts", [{}, {"priority": 0.3}])
 def test_top_k_over_blocks_equals_global_top_k(spark, monkeypatch, boosts):
-    monkeypatch.setattr(grid, "SMALL_BLOCK_ROWS", 1)
     queries, qdf = frame(spark, "q", 11, 7, ties=True)
     corpus, cdf = frame(spark, "c", 130, 8, ties=True)
     got = defaultdict(list)
-    for r in retrieval.top_k(qdf, cdf, "vec_a", 6, boosts, query_rows=3, corpus_rows=20).orderBy("query_key", "rk").collect():
+    for r in retrieval.top_k(qdf, cdf, "vec_a", 6, boosts, query_rows=3, runs=2).orderBy("query_key", "rk").collect():
         got[r.query_key].append(r.key)
     for q in queries:
         score = {}
@@ -166,11 +185,10 @@ def brute_bm25(docs, ask):
 
 
 def test_bm25_equals_the_formula(spark, monkeypatch):
-    monkeypatch.setattr(grid, "SMALL_BLOCK_ROWS", 1)
     docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(DOCS)], "key string, text string")
     asks = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(ASKS)], "key string, text string")
     got = defaultdict(list)
-    for r in lexical.bm25_top_k(lexical.tokenised(asks, "text"), lexical.tokenised(docs, "text"), 4, query_rows=2, corpus_rows=2).orderBy("query_key", "rk").collect():
+    for r in lexical.bm25_top_k(lexical.tokenised(asks, "text"), lexical.tokenised(docs, "text"), 4, query_rows=2, runs=2).orderBy("query_key", "rk").collect():
         got[r.query_key].append((r.key, pytest.approx(r.score, abs=1e-8)))
     for i, ask in enumerate(ASKS):
         scores = brute_bm25(DOCS, ask)

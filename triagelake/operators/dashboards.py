@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from triagelake import constants as C
 from triagelake.functions import scalars as S
+from triagelake.session import materialise
 
 # --- totals from the monthly mart -----------------------------------------------
 
@@ -185,11 +186,12 @@ def group_quantile(rows: DataFrame, by: str, value: str, q: float, name: str) ->
 
 
 def anomalies(changes: DataFrame, issues: DataFrame) -> DataFrame:
-    """Base rows plus p99 of their type and the outlier flag. The quantiles are one
-    row per type, small enough for the optimizer to broadcast at run time."""
-    base = anomaly_base(changes, issues)
+    """Base rows plus p99 of their type and the outlier flag. The base is stored (a job):
+    it feeds the quantiles, too. Types are the nine consolidated ones, so their
+    quantiles go to every task."""
+    base = materialise(anomaly_base(changes, issues), "anomaly-base")
     p99 = group_quantile(base, "issuetype", "resolution_days", 0.99, "p99")
-    return base.join(p99, "issuetype").withColumn(
+    return base.join(F.broadcast(p99), "issuetype").withColumn(
         "flag_outlier_resolution", S.flag(F.col("resolution_days") >= F.col("p99"))
     )
 

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from triagelake import constants as C
 from triagelake.functions import scalars as S
 from triagelake.functions import text as X
-from triagelake.session import ship_package
+from triagelake.session import materialise, ship_package
+
+#: Rows up to which a table of known size is sent to every task.
+BROADCAST_ROWS = 100_000
 
 Encoder = Callable[[list[str]], np.ndarray]
 Responder = Callable[[list[str]], list[str | None]]
@@ -53,18 +56,20 @@ def hashed_weights(df: DataFrame, text: str, dims: int = 256) -> DataFrame:
     """Default vectors without a model: words hashed to ``dims`` buckets, tf-idf
     weights, unit length; non-zero entries as key, bucket, weight. Texts are spread
     by key once; counting, weighting and the norm then stay where the text is. The
-    idf table has at most ``dims`` rows, which bounds the broadcast."""
-    counts = (
+    counts are stored (a job), as the idf needs them too. The idf table has at most
+    ``dims`` rows; up to ``BROADCAST_ROWS`` it goes to every task."""
+    counts = materialise(
         df.select("key", text).repartition("key")
         .select("key", F.explode(X.tokens(F.col(text))).alias("_term"))
         .groupBy("key", term_bucket(F.col("_term"), dims).alias("bucket"))
-        .agg(F.count("*").alias("tf"))
+        .agg(F.count("*").alias("tf")),
+        "bucket-counts",
     )
     n = df.agg(F.count("*")).scalar()
     idf = counts.groupBy("bucket").agg(F.count("*").alias("df")).select(
         "bucket", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf")
     )
-    weighted = counts.join(F.broadcast(idf), "bucket").withColumn("w", F.col("tf") * F.col("idf"))
+    weighted = counts.join(F.broadcast(idf) if dims <= BROADCAST_ROWS else idf, "bucket").withColumn("w", F.col("tf") * F.col("idf"))
     packed = weighted.groupBy("key").agg(
         F.collect_list(F.struct("bucket", "w")).alias("_e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")
     )
@@ -275,8 +280,15 @@ def whole_percent(x: Column) -> Column:
     return F.concat(S.round_half_up(x * 100.0, 0).cast("int").cast("string"), F.lit("%"))
 
 
+#: Where a ticket goes and what comes next, unless the caller has tables of their own.
+ROUTES = [("Bug", "Repair queue"), ("Question", "Support desk")]
+ROUTE_ELSE = "Planning board"
+STEPS = [("Fixed", "Plan the change."), ("Duplicate", "Look for the earlier ticket.")]
+STEP_ELSE = "Read the evidence and decide."
+
+
 def guidance(label: Column, table: Sequence[tuple[str, str]], default: str) -> Column:
-    """Guidance of a label from a fixed table of at most nine rows."""
+    """Guidance of a label from a table of a few rows."""
     out = None
     for name, text in table:
         out = (F if out is None else out).when(label == name, text)
@@ -294,7 +306,11 @@ def analysis_sentence(issuetype: Column, conf_type: Column, conf_resolution: Col
     )
 
 
-def triage_report(predicted: DataFrame, neighbours: DataFrame, cache: DataFrame | None = None) -> DataFrame:
+def triage_report(
+    predicted: DataFrame, neighbours: DataFrame, cache: DataFrame | None = None,
+    routes: tuple[Sequence[tuple[str, str]], str] = (ROUTES, ROUTE_ELSE),
+    steps: tuple[Sequence[tuple[str, str]], str] = (STEPS, STEP_ELSE),
+) -> DataFrame:
     """One row per ticket: prediction, bands, guidance, warning, analysis and the
     five nearest tickets as text."""
     rows = neighbours.where(F.col("rk") <= 5).withColumn("sim", S.round_half_up(F.col("weight"), 4))
@@ -319,8 +335,8 @@ def triage_report(predicted: DataFrame, neighbours: DataFrame, cache: DataFrame
         "key", it.alias("issuetype"), S.confidence_band(ci).alias("issuetype_band"), "routing_issuetype",
         res.alias("resolution"), S.confidence_band(cr).alias("resolution_band"), "routing_resolution",
         S.flag((ci < low) | (cr < low)).alias("low_confidence"),
-        guidance(it, C.ROUTING_GUIDANCE, C.ROUTING_DEFAULT).alias("routing_guidance"),
-        guidance(res, C.RESOLUTION_GUIDANCE, C.RESOLUTION_DEFAULT).alias("next_step"),
+        guidance(it, *routes).alias("routing_guidance"),
+        guidance(res, *steps).alias("next_step"),
         analysis_sentence(it, ci, cr, F.col("_near.key"), F.col("_near.sim"), F.col("_near.resolution")).alias("analysis"),
         "evidence",
     )

@@ -104,9 +104,10 @@ def target_status(summary_rows: DataFrame) -> DataFrame:
 
 
 def routing_share(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows and percent of all rows per routing combination."""
+    """Rows and percent of all rows per routing combination. The total is taken over the
+    counts, a few rows, so the input is planned once."""
     counts = rows.groupBy(*columns).agg(F.count("*").alias("n_tickets"))
-    everything = counts.agg(F.sum("n_tickets")).scalar()
+    everything = F.sum("n_tickets").over(Window.partitionBy())
     return counts.withColumn("pct", S.pct(F.col("n_tickets"), everything, 1))
 
 

@@ -1,16 +1,18 @@
-"""Block grid for exact scoring of every query against every corpus row.
-
-Neither side is collected or broadcast. Queries and corpus rows are hashed into
-blocks of bounded size; block pair (q, c) is one cogroup task that scores its
-rows with numpy and emits only what can still reach a result (a few rows per
-query), never the pairs. A corpus row is sent once per query block and a query
-row once per corpus block, so traffic grows with the number of blocks, not with
-the number of rows on the other side.
+"""Grid for exact scoring of every query against every corpus row.
+
+Neither side is collected or broadcast. Queries are hashed into blocks of bounded
+size, the corpus into as many runs as there are cores to use. A cell is one query
+block and one run: its task holds the queries, streams the run batch by batch, scores
+each batch with numpy and keeps what can still reach a result. A cell emits once, at
+its end, a few rows per query, so output grows with the number of runs (that is, of
+cores), not with the corpus; a corpus row is sent once per query block, a query row
+once per run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import numpy as np
 import pandas as pd
@@ -21,10 +23,10 @@ from pyspark.sql import functions as F
 
 from triagelake.session import ship_package
 
-# a block of 1024-element vectors in two views is 80 / 320 MB of doubles
+# a block of 1024-element vectors in two views is 80 MB of doubles
 QUERY_BLOCK_ROWS = 5_000
-CORPUS_BLOCK_ROWS = 20_000
-SMALL_BLOCK_ROWS = 2_000
+# corpus rows below which a further run is of no use
+SMALL_RUN_ROWS = 2_000
 # doubles in one score matrix inside a task (64 MB)
 SCORE_CELLS = 8_000_000
 # similarities are compared after rounding, so that the order does not depend on
@@ -32,41 +34,106 @@ SCORE_CELLS = 8_000_000
 SCORE_DECIMALS = 9
 
 
-def block_count(df: DataFrame, max_rows: int) -> Column:
-    """Number of blocks: enough for every core, none above ``max_rows`` rows, none
-    uselessly small. A scalar subquery, evaluated inside the job."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = F.count("*")
-    rows = F.least(F.lit(float(max_rows)), F.greatest(F.lit(float(SMALL_BLOCK_ROWS)), n / cores))
-    return df.agg(F.greatest(F.ceil(n / rows), F.lit(1)).cast("int")).scalar()
+class Cell(Protocol):
+    """One query block against a run; batches of the run come in the order of their keys."""
+
+    def add(self, batch: pa.Table) -> None: ...
+
+    def result(self) -> pa.Table: ...
+
+
+def _sizes(queries: DataFrame, corpus: DataFrame, query_rows: int, runs: int | None) -> tuple[Column, Column]:
+    """Numbers of query blocks and of runs, as scalar subqueries inside the job."""
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    blocks = F.greatest(F.ceil(F.count("*") / query_rows), F.lit(1)).cast("int")
+    n_query = queries.agg(blocks).scalar()
+    if runs is not None:
+        return n_query, F.lit(runs)
+    useful = F.greatest(F.ceil(F.count("*") / SMALL_RUN_ROWS), F.lit(1)).cast("int")
+    n_corpus = corpus.agg(useful).scalar()
+    return n_query, F.least(n_corpus, F.greatest(F.ceil(F.lit(cores) / n_query), F.lit(1)).cast("int"))
 
 
 def on_grid(
     queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
-    cell: Callable[[pa.Table, pa.Table], pa.Table], schema: str,
-    query_rows: int = QUERY_BLOCK_ROWS, corpus_rows: int = CORPUS_BLOCK_ROWS,
-    sized_by: DataFrame | None = None,
+    make_cell: Callable[[pa.Table], Cell], schema: str,
+    query_rows: int = QUERY_BLOCK_ROWS, runs: int | None = None, sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Run ``cell(query block, corpus block)`` on every block pair."""
+    """Run ``make_cell(query block)`` on every run of the corpus. ``runs`` sets their number."""
     ship_package(queries.sparkSession)
-    n_query = block_count(sized_by if sized_by is not None else queries.select(query_key), query_rows)
-    n_corpus = block_count(corpus.select(key), corpus_rows)
+    n_query, n_runs = _sizes(sized_by if sized_by is not None else queries.select(query_key), corpus.select(key), query_rows, runs)
 
-    def placed(df: DataFrame, own: str, by: str, other: str) -> DataFrame:
-        mine, theirs = (n_query, n_corpus) if own == "_q" else (n_corpus, n_query)
+    def placed(df: DataFrame, side: int, own: str, by: str, other: str) -> DataFrame:
         # fresh column ids: both sides may stem from one table
+        fields = F.struct(*[F.col(c).alias(c) for c in df.columns]).alias("_left" if side == 0 else "_right")
         return (
-            df.select(*[F.col(c).alias(c) for c in df.columns])
-            .withColumn("_mine", mine)
-            .withColumn("_theirs", theirs)
-            .withColumn(own, F.pmod(F.xxhash64(by), "_mine").cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_theirs") - 1)))
-            .drop("_mine", "_theirs")
+            df.select(fields, F.col(by).alias("_by"), F.lit(side).alias("_side"), n_query.alias("_nq"), n_runs.alias("_nr"))
+            .withColumn(own, F.pmod(F.xxhash64("_by"), F.col("_nq" if own == "_q" else "_nr")).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_nr" if other == "_r" else "_nq") - 1)))
+            .drop("_nq", "_nr")
         )
 
-    left = placed(queries, "_q", query_key, "_c").groupBy("_q", "_c")
-    right = placed(corpus, "_c", key, "_q").groupBy("_q", "_c")
-    return left.cogroup(right).applyInArrow(cell, schema)
+    left, right = placed(queries, 0, "_q", query_key, "_r"), placed(corpus, 1, "_r", key, "_q")
+    rows = left.unionByName(right, allowMissingColumns=True).select("_q", "_r", "_side", "_by", "_left", "_right")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked, cell = None, [], None
+        for batch in batches:
+            place = np.stack([batch.column(n).to_numpy() for n in ("_q", "_r", "_side")], axis=1)
+            edges = [0, *(np.flatnonzero((np.diff(place, axis=0) != 0).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(edges, edges[1:]):
+                if hi == lo:
+                    continue
+                if at != tuple(place[lo, :2]):
+                    if cell is not None:
+                        yield from cell.result().to_batches()
+                    at, asked, cell = tuple(place[lo, :2]), [], None
+                part = batch.slice(lo, hi - lo)
+                if place[lo, 2] == 0:
+                    asked.append(_fields(part, "_left"))
+                elif asked:
+                    cell = cell or make_cell(pa.concat_tables(asked).combine_chunks())
+                    cell.add(_fields(part, "_right"))
+        if cell is not None:
+            yield from cell.result().to_batches()
+
+    return rows.repartition("_q", "_r").sortWithinPartitions("_q", "_r", "_side", "_by").mapInArrow(run, schema)
+
+
+def _fields(batch: pa.RecordBatch, name: str) -> pa.Table:
+    column = batch.column(batch.schema.get_field_index(name))
+    return pa.Table.from_arrays(column.flatten(), names=[f.name for f in column.type])
+
+
+class Heads:
+    """The k best rows of every query over the batches seen: score, key and what comes along."""
+
+    def __init__(self, n: int, k: int):
+        self.n, self.k, self.row, self.score, self.key, self.more = n, k, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object), None
+
+    def add(self, rows: np.ndarray, score: np.ndarray, key: np.ndarray, *more: np.ndarray) -> None:
+        """Rows of a batch whose keys come after all keys before; equal scores keep the earlier one."""
+        kept = self.more if self.more is not None else [m[:0] for m in more]
+        row, score = np.concatenate([self.row, rows]), np.concatenate([self.score, score])
+        order = np.lexsort((np.arange(len(row)), -score, row))
+        start = np.searchsorted(row[order], np.arange(self.n))
+        order = order[np.arange(len(order)) - start[row[order]] < self.k]
+        self.row, self.score, self.key = row[order], score[order], np.concatenate([self.key, key])[order]
+        self.more = [np.concatenate([a, b])[order] for a, b in zip(kept, more)]
+
+    def bar(self, part: slice) -> np.ndarray:
+        """What a row of each query must exceed to get in."""
+        start = np.searchsorted(self.row, np.arange(part.start, part.stop + 1))
+        full = np.diff(start) >= self.k
+        out = np.full(part.stop - part.start, -np.inf)
+        out[full] = self.score[start[1:][full] - 1]
+        return out
+
+    def offer(self, part: slice, scores: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> None:
+        rows, cols = best_columns(scores, self.k)
+        inside = scores[rows, cols] > self.bar(part)[rows]
+        rows, cols = rows[inside], cols[inside]
+        self.add(rows + part.start, scores[rows, cols], keys[cols], *(m[rows, cols] for m in more))
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:

@@ -65,33 +65,39 @@ def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, **block_rows: int) -
     query_key, key, score, rk. ``queries`` and ``docs`` hold key and words.
 
     Joining queries and documents on common words would emit almost all pairs.
-    Here block pairs are scored in place from an inverted index of the block, and
-    only k rows per query and block leave the task."""
+    Here queries meet the documents batch by batch, each scored from an inverted index
+    of its own, and only k rows per query and run leave the task. Documents travel
+    without the words that no query has; a batch is bounded in rows and bytes."""
     terms = query_terms(queries, docs).groupBy("query_key").agg(
         F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights")
     )
     asking = queries.select(F.col("key").alias("query_key")).join(terms, "query_key", "left")
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = grid.sorted_by(right, "key")
-        out = {"query_key": [], "key": [], "score": []}
-        if len(left) and len(right):
-            index = _block_index(left["terms"], right["words"], right["norm"])
-            weights = left["weights"].to_pylist()
-            term_ids = _term_ids(left["terms"], index["vocabulary"])
-            for part in grid.query_slices(len(left), len(right)):
-                scores = np.zeros((part.stop - part.start, len(right)))
+    counted = docs.select("key", F.explode("words").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
+    asked = queries.select(F.explode("words").alias("term")).distinct()
+    used = counted.join(asked, "term", "left_semi").groupBy("key").agg(F.collect_list(F.struct("term", "tf")).alias("words"))
+    known = _saturation(docs).drop("words").join(used, "key", "left").select("key", "norm", F.coalesce("words", F.array().cast("array<struct<term:string,tf:bigint>>")).alias("words"))
+
+    class Cell:
+        def __init__(self, left: pa.Table):
+            self.left, self.weights = left, left["weights"].to_pylist()
+            self.vocabulary = pc.unique(pc.list_flatten(left["terms"].combine_chunks()))
+            self.term_ids = _term_ids(left["terms"], self.vocabulary)
+            self.heads = grid.Heads(len(left), k)
+
+        def add(self, right: pa.Table) -> None:
+            index, keys = _batch_index(self.vocabulary, right["words"], right["norm"]), right["key"].to_numpy()
+            for part in grid.query_slices(len(self.left), len(keys)):
+                scores = np.zeros((part.stop - part.start, len(keys)))
                 for i in range(part.start, part.stop):
-                    _score_into(scores[i - part.start], term_ids[i], weights[i], index)
-                scores = retrieval._rounded(scores)
-                rows, cols = grid.best_columns(scores, k)
-                out["query_key"].append(left["query_key"].take(pa.array(rows + part.start)))
-                out["key"].append(right["key"].take(pa.array(cols)))
-                out["score"].append(scores[rows, cols])
-        return retrieval._table(out, {"query_key": left, "key": right})
+                    _score_into(scores[i - part.start], self.term_ids[i], self.weights[i], index)
+                self.heads.offer(part, retrieval._rounded(scores), keys)
+
+        def result(self) -> pa.Table:
+            h = self.heads
+            return pa.table({"query_key": self.left["query_key"].take(pa.array(h.row)), "key": pa.array(h.key, pa.string()), "score": pa.array(h.score)})
 
     hits = grid.on_grid(
-        asking, _saturation(docs), "query_key", "key", cell,
+        asking, known, "query_key", "key", Cell,
         "query_key string, key string, score double", sized_by=queries.select("key"), **block_rows,
     )
     w = Window.partitionBy("query_key").orderBy(F.desc("score"), "key")
@@ -105,21 +111,19 @@ def _term_ids(terms: pa.ChunkedArray, vocabulary: pa.Array) -> list[np.ndarray]:
     return np.split(ids, np.cumsum(lengths)[:-1])
 
 
-def _block_index(query_terms: pa.ChunkedArray, words: pa.ChunkedArray, norm: pa.ChunkedArray) -> dict:
-    """Postings of the block's documents for the block's query terms, by term."""
-    vocabulary = pc.unique(pc.list_flatten(query_terms.combine_chunks()))
+def _batch_index(vocabulary: pa.Array, words: pa.ChunkedArray, norm: pa.ChunkedArray) -> dict:
+    """Postings of a batch of documents for the queries' terms, by term."""
     lists = words.combine_chunks()
-    ids = pc.index_in(pc.list_flatten(lists), value_set=vocabulary)
-    doc = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-    known = ids.is_valid().to_numpy(zero_copy_only=False)
-    ids = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64)[known]
-    n_docs = len(lists)
-    pair, tf = np.unique(ids * n_docs + doc[known].astype(np.int64), return_counts=True)
-    term, doc = pair // n_docs, pair % n_docs
-    norms = norm.to_numpy()
-    value = tf * (C.BM25_K1 + 1) / (tf + norms[doc])
+    flat = pc.list_flatten(lists)
+    term = pc.index_in(pc.struct_field(flat, "term"), value_set=vocabulary)
+    known = term.is_valid().to_numpy(zero_copy_only=False)
+    term = pc.fill_null(term, 0).to_numpy(zero_copy_only=False).astype(np.int64)[known]
+    doc = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)[known]
+    tf = pc.struct_field(flat, "tf").to_numpy(zero_copy_only=False)[known]
+    order = np.lexsort((doc, term))
+    term, doc, tf = term[order], doc[order], tf[order]
     return {
-        "vocabulary": vocabulary, "doc": doc, "value": value,
+        "doc": doc, "value": tf * (C.BM25_K1 + 1) / (tf + norm.to_numpy()[doc]),
         "start": np.searchsorted(term, np.arange(len(vocabulary) + 1)),
     }
 

@@ -38,7 +38,8 @@ def label_scores(
 ) -> DataFrame:
     w = F.col(weight)
     if multipliers is not None:
-        neighbours = neighbours.join(multipliers, ["target", "label"], "left")
+        # a row per target and consolidated label
+        neighbours = neighbours.join(F.broadcast(multipliers), ["target", "label"], "left")
         w = w * F.coalesce("multiplier", F.lit(1.0))
     return neighbours.groupBy(*by, "label").agg(
         S.round_half_up(F.sum(w), grid.SCORE_DECIMALS).alias("label_score"),

@@ -36,12 +36,17 @@ def all_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-# the vector table is written once per session and folder; every retrieval reads it
-_WRITTEN: dict[tuple[str, str], DataFrame] = {}
+# the vector table is written once per session and state of the folder's files; every retrieval reads it
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def _files(t: Tracker) -> tuple:
+    found = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(t.folder)
+    return tuple(found.agg(F.count("*"), F.sum("length"), F.max("modificationTime"), F.sum(F.xxhash64("path", "length", "modificationTime") % (1 << 31))).first())
 
 
 def vectors(t: Tracker) -> DataFrame:
-    at = (t.spark.sparkContext.applicationId, t.folder)
+    at = (t.spark.sparkContext.applicationId, t.folder, _files(t))
     if at not in _WRITTEN:
         _WRITTEN[at] = materialise(t.vectors(), "vectors")
     return _WRITTEN[at]

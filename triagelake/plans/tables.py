@@ -43,6 +43,20 @@ SELECT l_orderkey AS key, l_linenumber AS line, l_returnflag AS flag, l_linestat
 """)
 
 
+def _header_contract(t: Tracker) -> DataFrame:
+    """Headers of the customers' CSV export, read from its files."""
+    path = scratch(t, "customers-csv")
+    raw_files.write_csv(t.table("customer"), path)
+    header = raw_files.header_of(t.spark, path)
+    return raw_files.header_contract(t.spark, header, ["c_name", "c_custkey", "c_phone", "c_mktsegment", "comment.id"])
+
+
+query("s4_header_contract", _header_contract, """
+SELECT n.column_name, (h.cid + 1)::INTEGER AS position, CASE WHEN h.cid IS NULL THEN 'NOT FOUND' ELSE 'OK' END AS status
+FROM (VALUES ('c_name'), ('c_custkey'), ('c_phone'), ('c_mktsegment'), ('comment.id')) n(column_name) LEFT JOIN pragma_table_info('customer') h ON h.name = n.column_name
+""")
+
+
 def _tolerant_rows(t: Tracker) -> DataFrame:
     """Event lines of which the error events lost their tail."""
     path = scratch(t, "events-csv")
@@ -133,8 +147,10 @@ def _typed_insert(t: Tracker) -> DataFrame:
     root, columns = scratch(t, "layers"), {"key": "string", "issuetype": "string", "resolution": "string",
                                            "resolution_days": "double"}
     for split in ("train", "validation"):
-        tables.insert_into(t.cleaned().where(F.col("split") == split), root, "TRIAGE", "typed", columns)
-    return t.spark.read.parquet(tables.table_path(root, "TRIAGE", "typed"))
+        tables.insert_into(t.cleaned().where(F.col("split") == split), root, "TRIAGE", "typed", columns, run=split)
+        # a repeated run replaces its rows
+        out = tables.insert_into(t.cleaned().where(F.col("split") == split), root, "TRIAGE", "typed", columns, run=split)
+    return out
 
 
 query("s12_typed_insert", _typed_insert, """
@@ -247,10 +263,10 @@ query("p30_any_flag", lambda t: D.anomalies(t.all_change_features(), t.cleaned()
     S.any_flag(["flag_high_churn", "flag_outlier_resolution"])).select("key", "resolution_days"),
     "SELECT key, resolution_days FROM anomalies WHERE greatest(flag_high_churn, flag_outlier_resolution) = 1")
 query("p31_guidance", lambda t: t.cleaned().select(
-    "key", N.guidance(F.col("issuetype"), C.ROUTING_GUIDANCE, C.ROUTING_DEFAULT).alias("routing_guidance"),
-    N.guidance(F.col("resolution"), C.RESOLUTION_GUIDANCE, C.RESOLUTION_DEFAULT).alias("next_step")), f"""
-SELECT key, {case('issuetype', C.ROUTING_GUIDANCE, q(C.ROUTING_DEFAULT))} AS routing_guidance,
-  {case('resolution', C.RESOLUTION_GUIDANCE, q(C.RESOLUTION_DEFAULT))} AS next_step FROM int_issues
+    "key", N.guidance(F.col("issuetype"), N.ROUTES, N.ROUTE_ELSE).alias("routing_guidance"),
+    N.guidance(F.col("resolution"), N.STEPS, N.STEP_ELSE).alias("next_step")), f"""
+SELECT key, {case('issuetype', N.ROUTES, q(N.ROUTE_ELSE))} AS routing_guidance,
+  {case('resolution', N.STEPS, q(N.STEP_ELSE))} AS next_step FROM int_issues
 """)
 
 # --- joins -----------------------------------------------------------------------------------

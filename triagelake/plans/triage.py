@@ -691,7 +691,7 @@ def _band(x: str) -> str:
 query("m33_triage_report", lambda t: _reported(t, True), f"""
 SELECT p.key, p.pred_issuetype AS issuetype, {_band('p.conf_issuetype')} AS issuetype_band, p.routing_issuetype, p.pred_resolution AS resolution,
   {_band('p.conf_resolution')} AS resolution_band, p.routing_resolution, CASE WHEN p.conf_issuetype < 0.45 OR p.conf_resolution < 0.45 THEN 1 ELSE 0 END AS low_confidence,
-  {case('p.pred_issuetype', C.ROUTING_GUIDANCE, q(C.ROUTING_DEFAULT))} AS routing_guidance, {case('p.pred_resolution', C.RESOLUTION_GUIDANCE, q(C.RESOLUTION_DEFAULT))} AS next_step,
+  {case('p.pred_issuetype', N.ROUTES, q(N.ROUTE_ELSE))} AS routing_guidance, {case('p.pred_resolution', N.STEPS, q(N.STEP_ELSE))} AS next_step,
   {_analysis} AS analysis, x.evidence FROM predictions p JOIN report_near n ON n.query_key = p.key AND n.rk = 1
 JOIN (SELECT r.query_key, string_agg(r.key || ' ' || floor(r.sim * 100.0::DOUBLE)::BIGINT || '% match [' || r.issuetype || ' / ' || r.resolution || '] "' || coalesce(r.cand_summary, '') || '"'
   || CASE WHEN coalesce(c.fix_summary, '') <> '' THEN ' fix: ' || c.fix_summary ELSE '' END, {NL} ORDER BY r.rk) AS evidence

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +34,17 @@ def get_session(app: str = "triagelake", master: str | None = None, **conf: str)
 _OWN_DIRS: dict[str, str] = {}
 
 
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``. Only where
-    the session names none (local runs, tests) a temporary folder stands in."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``. Only a session on
+    one machine (tests) may name none; a temporary folder stands in."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not on_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_DIRS:
             _OWN_DIRS[app] = tempfile.mkdtemp(prefix="triagelake-")
@@ -61,9 +69,28 @@ def ship_package(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
+_SCOPES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path per use; all of an application lie in one folder."""
-    return f"{shared_dir(spark)}/triagelake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A new path per use; all of an application lie in one folder, those of a job in
+    a folder of that."""
+    inside = "/".join([spark.sparkContext.applicationId, *_SCOPES])
+    return f"{shared_dir(spark)}/triagelake/{inside}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was stored meanwhile; only for jobs whose results are
+    tables of their own."""
+    _SCOPES.append(f"job-{uuid.uuid4().hex}")
+    path = f"{shared_dir(spark)}/triagelake/{'/'.join([spark.sparkContext.applicationId, *_SCOPES])}"
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

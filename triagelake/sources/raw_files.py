@@ -47,7 +47,8 @@ def read_raw_csv(
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that fit, and the first field and raw text of those that do not (Spark
-    reads the raw text only next to a parsed column). Each side scans the files."""
+    reads the raw text only next to a parsed column). Give it stored rows: on a plain
+    read each side parses the files."""
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, df.where(F.col(CORRUPT).isNotNull()).select(df.columns[0], CORRUPT)
 
@@ -78,6 +79,21 @@ def header_contract(spark: SparkSession, header: Sequence[str], needed: Sequence
     )
 
 
+def moved_columns(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], positions: Sequence[int]
+) -> list[tuple[str, str, int, int | None]]:
+    """Per file: needed columns that do not stand at their position (file, name, due,
+    found). Reads one line of each file."""
+    out = []
+    for file in [path] if isinstance(path, str) else path:
+        header = [h.strip().lower() for h in header_of(spark, file)]
+        for name, due in zip(names, positions):
+            found = header.index(name.lower()) + 1 if name.lower() in header else None
+            if found != due and (len(header) < due or header[due - 1] != name.lower()):
+                out.append((file, name, due, found))
+    return out
+
+
 def write_csv(df: DataFrame, path: str, null_value: str = "") -> None:
     """CSV that ``read_raw_csv`` reads back unchanged."""
     df.write.mode("overwrite").options(

@@ -373,6 +373,8 @@ query("a14_totals_by_type", lambda t: D.totals_by_type(t.ops_mart()), "SELECT is
 query("a15_resolution_totals", lambda t: D.resolution_totals(t.ops_mart()).select(*rounded(4, "fixed", "wontfix", "duplicate", "cannot_reproduce"), "total"),
       "SELECT " + ", ".join(f"{rnd(f'sum({c} * total_issues / 100.0::DOUBLE)', 4)} AS {n}" for c, n in zip(_SHARES, ["fixed", "wontfix", "duplicate", "cannot_reproduce"]))
       + ", sum(total_issues)::BIGINT AS total FROM mart_ops")
+query("a14_monthly_trend", lambda t: D.monthly_trend(t.ops_mart()).select(day("month"), "issuetype", *long("total_issues")),
+      f"SELECT {DAY.format('month')} AS month, issuetype, total_issues::BIGINT AS total_issues FROM mart_ops")
 query("a16_type_by_resolution", lambda t: D.type_by_resolution_matrix(t.cleaned()), "SELECT issuetype, " + ", ".join(
     f"count(CASE WHEN resolution = {q(r)} THEN 1 END) AS \"{r}\"" for r in C.RESOLUTIONS) + " FROM int_issues GROUP BY 1")
 _TIMES = "(SELECT key, issuetype, priority, least(resolution_days, 365)::INTEGER AS days FROM int_issues WHERE resolved_at IS NOT NULL)"

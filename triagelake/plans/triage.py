@@ -13,7 +13,7 @@ from triagelake.operators import ablations as A
 from triagelake.operators import enrichment as N
 from triagelake.operators import evaluation as E
 from triagelake.operators import features, lexical, retrieval, voting
-from triagelake.plans import registry
+from triagelake.plans import jobs, registry
 from triagelake.plans.oracle_base import NL, block, case, clean, q, rnd, vote
 from triagelake.plans.registry import long, query, rounded, sides, vectors
 from triagelake.plans.tables import CACHE_SQL, _cache, scratch
@@ -500,13 +500,15 @@ SELECT query_key, target, string_agg(lpad(rnk::VARCHAR, 2, ' ') || '. ' || label
     SELECT query_key, target, label, {rnd('sum(weight)', 9)} AS s, min(rk) AS b FROM boost_neighbours GROUP BY ALL)) WHERE rnk <= 5 GROUP BY 1, 2
 """)
 query("p22_candidate_lines", lambda t: N.candidate_lines(boosted_scores(t)), "SELECT query_key, target, candidates FROM candidate_text")
-query("m24_label_prompts", _gated_prompts, f"""
+_PROMPT_SQL = f"""
 SELECT g.query_key, g.target, 'Choose the best label for this software project ticket.' || {NL} || {NL} || 'CANDIDATES' || {NL} || c.candidates || {NL} || {NL} || 'EVIDENCE' || {NL}
   || left(x.context, 1200) || {NL} || {NL} || 'TICKET' || {NL} || left(e.text_noco, 1500) || {NL} || {NL}
   || 'The first candidate is usually right. Answer with one candidate label only.' AS prompt
 FROM boost_gated g JOIN candidate_text c ON c.query_key = g.query_key AND c.target = g.target JOIN {_context(250, 5)} x ON x.query_key = g.query_key
 JOIN eval_rows e ON e.key = g.query_key WHERE g.method <> 'DIRECT'
-""")
+"""
+block("gated_prompts", _PROMPT_SQL)
+query("m24_label_prompts", _gated_prompts, _PROMPT_SQL)
 
 
 def _list_prompts(t: Tracker) -> DataFrame:
@@ -616,6 +618,20 @@ SELECT key, fix_summary FROM {CACHE_SQL} UNION ALL SELECT t.key, (length('Summar
   + length(left(t.comments_concat, 1500)) + 1 + length('RESOLUTION: ') + length(t.resolution)) || ' characters'
 FROM train_rows t WHERE t.key IN (SELECT key FROM top15 WHERE rk <= 5) AND t.key NOT IN (SELECT key FROM {CACHE_SQL})
 """)
+block("gated_answers", """
+SELECT g.query_key, g.target, g.method, coalesce(length(p.prompt) || ' characters', g.label) AS chosen
+FROM boost_gated g LEFT JOIN gated_prompts p ON p.query_key = g.query_key AND p.target = g.target
+""")
+for _target, _labels in (("issuetype", C.ISSUE_TYPES), ("resolution", C.RESOLUTIONS)):
+    block(f"gated_{_target}", nearest_join_sql(
+        f"(SELECT query_key, method, chosen FROM gated_answers WHERE target = '{_target}')", "query_key, method", "chosen", _labels, "label"))
+query("m25_gated_predictions", lambda t: jobs.gated_predictions(*sides(t), length_responder, METADATA), f"""
+SELECT i.query_key AS key, i.label AS predicted_issuetype, r.label AS predicted_resolution,
+  length('State the likely fix of this software project ticket in one or two sentences.' || {NL} || {NL} || 'TYPE ' || i.label || {NL} || 'RESOLUTION ' || r.label || {NL} || {NL}
+  || 'TICKET' || {NL} || left(e.text_noco, 1200) || {NL} || {NL} || 'FIXED BEFORE' || {NL} || x.context) || ' characters' AS fix_summary,
+  i.method AS method_issuetype, r.method AS method_resolution
+FROM gated_issuetype i JOIN gated_resolution r ON r.query_key = i.query_key JOIN eval_rows e ON e.key = i.query_key JOIN {_context(400, 3, 1500)} x ON x.query_key = i.query_key
+""")
 query("h1_column_macro", lambda t: t.comments().select("comment_id", X.clean_ticket_text(F.col("comment_body")).alias("cleaned")),
       f"SELECT comment_id, {clean('comment_body')} AS cleaned FROM stg_comments")
 query("h2_completion_hook", lambda t: N.answer(t.comments().select("comment_id", "comment_body"), "comment_body", length_responder),
@@ -647,6 +663,28 @@ SELECT key, bucket, {rnd('weight', 6)} AS weight FROM (SELECT key, bucket, w / n
 """)
 
 
+
+def _text_neighbours(t: Tracker) -> DataFrame:
+    """Benchmark passages against all documents, from text to neighbours."""
+    texts = t.table("documents").select(F.concat(F.lit("D-"), "doc_id").alias("key"), "text").unionByName(
+        t.table("benchmark").select(F.concat(F.lit("B-"), "item_id").alias("key"), "text"))
+    found = materialise(N.hashed_vectors(texts, "text", 64), "text-vectors")
+    asked, known = (found.where(F.col("key").startswith(x)) for x in ("B-", "D-"))
+    return retrieval.top_k(asked, known, "vector", 3).select("query_key", "key", *rounded(6, "sim"), *long("rk"))
+
+
+block("small_tf", f"""SELECT key, (('0x' || substr(md5(term), 1, 8))::BIGINT % 64)::INTEGER AS bucket, count(*) AS tf FROM (SELECT key, unnest({_words}) AS term FROM (
+  SELECT 'D-' || doc_id AS key, text FROM documents UNION ALL SELECT 'B-' || item_id, text FROM benchmark)) GROUP BY ALL""")
+block("small_w", """SELECT key, bucket, tf * ln(((SELECT count(*) FROM documents) + (SELECT count(*) FROM benchmark) + 1.0::DOUBLE) / (count(*) OVER (PARTITION BY bucket) + 1.0::DOUBLE)) AS w FROM small_tf""")
+block("small_unit", "SELECT key, bucket, w / nullif(sqrt(sum(w * w) OVER (PARTITION BY key)), 0) AS w FROM small_w")
+query("m1_text_neighbours", _text_neighbours, f"""
+SELECT query_key, key, {rnd('sim', 6)} AS sim, rk FROM (SELECT *, row_number() OVER (PARTITION BY query_key ORDER BY sim DESC, key) AS rk FROM (
+  SELECT a.query_key, k.key, {rnd('coalesce(p.s, 0)', 9)} AS sim FROM (SELECT 'B-' || item_id AS query_key FROM benchmark) a CROSS JOIN (SELECT 'D-' || doc_id AS key FROM documents) k
+  LEFT JOIN (SELECT x.key AS query_key, y.key, sum(x.w * y.w) AS s FROM small_unit x JOIN small_unit y ON y.bucket = x.bucket AND x.key LIKE 'B-%' AND y.key LIKE 'D-%' GROUP BY 1, 2) p
+  ON p.query_key = a.query_key AND p.key = k.key)) WHERE rk <= 3
+""")
+
+
 def _stale(t: Tracker) -> DataFrame:
     """Cached hashes hold the texts of English documents; other languages and their
     copies are to be encoded."""

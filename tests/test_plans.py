@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from triagelake.operators import retrieval
-from triagelake.plans import registry
+from triagelake.plans import catalog, registry
 from triagelake.sources.bindings import Tracker
 from triagelake.streaming import scoring
 
@@ -30,7 +30,8 @@ def con():
 
 
 def test_every_query_has_sql_and_a_name_of_its_own():
-    assert set(entry.queries()) == set(entry.oracle_sql()) and len(entry.queries()) > 150
+    assert set(catalog.queries()) == set(catalog.oracle_sql()) and len(catalog.queries()) > 150
+    assert set(catalog.queries()) <= set(entry.queries())
 
 
 def test_entry_has_rows(spark):
@@ -65,7 +66,7 @@ def test_limits_reach_the_map_side(spark):
 def test_scans_are_pruned_and_filters_pushed(spark):
     t = Tracker(spark, SMALL)
     text = plan(t.ops_mart())
-    assert "ReadSchema: struct<conv_id:bigint,turn:bigint,text:string>" in text  # no role
+    assert "ReadSchema: struct<conv_id:bigint,text:string>" in text  # no role
     assert "o_totalprice" not in text and "s_name" not in text
     v = plan(registry.vectors(t).where("split = 'train'").select("key"))
     assert "EqualTo(split,train)" in v and "ReadSchema: struct<key:string,split:string>" in v
@@ -81,16 +82,18 @@ def test_lengths_do_not_drag_texts_through_the_exchange(spark):
 def test_stream_equals_batch_and_repeats_count_once(spark, tmp_path):
     t = Tracker(spark, SMALL)
     queries, corpus = registry.sides(t)
-    queries.limit(12).write.parquet(str(tmp_path / "in"))
+    queries.limit(12).repartition(3).write.parquet(str(tmp_path / "in"))
     arrived = spark.read.parquet(str(tmp_path / "in"))
     arrived.limit(4).write.mode("append").parquet(str(tmp_path / "in"))  # the same tickets again
     short = arrived.limit(1).withColumn("key", F.lit("SHORT")).withColumn("summary_clean", F.lit("tiny"))
     short.write.mode("append").parquet(str(tmp_path / "in"))
-    run = scoring.score_new_tickets(spark, str(tmp_path / "in"), queries.schema, corpus, str(tmp_path / "out"), str(tmp_path / "state"))
+    run = scoring.score_new_tickets(spark, str(tmp_path / "in"), queries.schema, corpus, str(tmp_path / "out"), str(tmp_path / "state"), files_per_trigger=1)
     run.awaitTermination()
-    stored = spark.read.parquet(str(tmp_path / "out" / "scores")).drop("batch_id")
+    scores = spark.read.parquet(str(tmp_path / "out" / "scores"))
+    assert scores.select("batch_id").distinct().count() > 1
+    stored = scores.drop("batch_id")
     distinct = spark.read.parquet(str(tmp_path / "in")).where("key <> 'SHORT'").dropDuplicates(["key"])
-    batch = scoring.score_batch(distinct, corpus)
+    batch = scoring.score_batch(distinct, corpus, retrieval.fitted_scaler(corpus))
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
     # a second run finds nothing new
     scoring.score_new_tickets(spark, str(tmp_path / "in"), queries.schema, corpus, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()

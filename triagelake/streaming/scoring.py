@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from triagelake import constants as C
 from triagelake.operators import enrichment, retrieval, voting
+from triagelake.session import job_scratch, materialise
 
 
-def score_batch(tickets: DataFrame, index: DataFrame, scaled: bool = True) -> DataFrame:
-    """Predictions of a batch; the same operators as the nightly job."""
-    neighbours = retrieval.retrieve(tickets, index, scaled=scaled)
+def score_batch(tickets: DataFrame, index: DataFrame, scaler: Column | None = None) -> DataFrame:
+    """Predictions of a batch; the same operators as the nightly job. Without a scaler
+    the change features are compared raw."""
+    candidates = retrieval.rrf_top(tickets, index)
+    neighbours = retrieval.final_neighbours(retrieval.rerank(candidates, tickets, index, scaled=False, scaler=scaler))
     return voting.predictions(voting.vote(voting.by_target(neighbours)), tickets)
 
 
 def score_new_tickets(
     spark: SparkSession, source: str, schema: StructType, index: DataFrame, sink: str, checkpoint: str,
-    keep_keys_for: str = "7 days", scaled: bool = True,
+    keep_keys_for: str = "7 days", scaled: bool = True, files_per_trigger: int | None = None,
+    trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Read arriving Parquet files, drop tickets with too little text and repeated
     keys, score each micro-batch and store it under its batch id.
 
     The watermark is on arrival time, so no ticket is ever late; it only bounds how
     long keys are remembered. A batch that is run again after a failure overwrites
-    its own folder, so results are kept once."""
+    its own folder, so results are kept once, and what a batch stores on its way is
+    removed at its end.
+
+    Before the first batch the index is stored once with the columns that scoring
+    reads, and the scaler is fitted once. ``trigger`` goes to Spark (by default all
+    that is there is read, then the query ends); ``files_per_trigger`` bounds a batch."""
+    names = ["key", "vec_a", "vec_b", *voting.TARGETS, *C.METADATA_WEIGHTS, *C.CHANGE_FEATURES]
+    index = materialise(index.select(*names), "stream-index")
+    scaler = retrieval.fitted_scaler(index) if scaled else None
+    options = {"maxFilesPerTrigger": files_per_trigger} if files_per_trigger else {}
     tickets = (
-        spark.readStream.schema(schema).parquet(source)
+        spark.readStream.schema(schema).options(**options).parquet(source)
         .where(enrichment.valid_input(F.col("summary_clean"), F.col("description_clean")))
         .withColumn("arrived_at", F.current_timestamp())
         .withWatermark("arrived_at", keep_keys_for)
@@ -39,11 +55,12 @@ def score_new_tickets(
         # read the micro-batch once, score from the stored copy
         batch.write.mode("overwrite").parquet(f"{sink}/tickets/batch_id={batch_id}")
         stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{sink}/tickets/batch_id={batch_id}")
-        score_batch(stored, index, scaled).write.mode("overwrite").parquet(f"{sink}/scores/batch_id={batch_id}")
+        with job_scratch(batch.sparkSession):
+            score_batch(stored, index, scaler).write.mode("overwrite").parquet(f"{sink}/scores/batch_id={batch_id}")
 
     return (
         tickets.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

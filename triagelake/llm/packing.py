@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,7 +159,7 @@ def _numbered(bins: Bins, n: int) -> np.ndarray:
 
 def _island(table: pa.Table, size: int) -> pa.Table:
     """One epoch of an island; its own elite and an immigrant stand in rows of their own."""
-    solutions = [table.filter(pa.compute.equal(table["immigrant"], k)).sort_by(_ORDER) for k in (0, 1)]
+    solutions = [table.filter(pc.equal(table["immigrant"], k)).sort_by(_ORDER) for k in (0, 1)]
     own = solutions[0]
     elites = [_bins(t) for t in solutions if t.num_rows and t["bin"].null_count == 0]
     island = own["island"][0].as_py()
@@ -175,7 +176,7 @@ def _champion(table: pa.Table, size: int, last: bool) -> pa.Table:
     """Places of the best island's solution; the worst bins are left open for the next level."""
     best = None
     for k in sorted(set(table["island"].to_pylist())):
-        t = table.filter(pa.compute.equal(table["island"], k)).sort_by(_ORDER)
+        t = table.filter(pc.equal(table["island"], k)).sort_by(_ORDER)
         length = t["length"].to_pylist()
         bins = _bins(t)
         if best is None or fitness(bins, length, size) < best[0]:

@@ -17,9 +17,9 @@ from triagelake.llm.words import Words, buffer_of
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces whose ids a worker keeps.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_200_000
 #: Pieces that are encoded in one call.
-AT_ONCE = 4096
+AT_ONCE = 8192
 
 
 class Encoder:
@@ -29,9 +29,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-        self._clear()
-
-    def _clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # ascending
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each piece, in ids
         self.ids = np.zeros(0, np.uint32)
@@ -66,16 +63,17 @@ class Encoder:
         distinct, first, which = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
         new = np.flatnonzero(self.hashes[at] != distinct) if len(self.hashes) else np.arange(len(distinct))
+        kept = self.hashes, self.starts, self.sizes, self.ids
         if len(new):
-            if len(self.hashes) + len(new) > KEPT_PIECES:
-                self._clear()
-                new = np.arange(len(distinct))
             raw = data.tobytes()
             self._add([raw[a:b].decode() for a, b in zip(pieces.starts[first[new]].tolist(), pieces.ends[first[new]].tolist())], distinct[new])
         at = np.searchsorted(self.hashes, distinct)[which]
         sizes = self.sizes[at]
         bounds = np.concatenate([[0], np.cumsum(sizes)])[pieces.bounds]
-        return gathered(self.ids, self.starts[at], sizes), bounds
+        ids = gathered(self.ids, self.starts[at], sizes)
+        if len(self.hashes) > KEPT_PIECES:  # full: frequent pieces were met before
+            self.hashes, self.starts, self.sizes, self.ids = kept
+        return ids, bounds
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from triagelake.llm.spread import small
 
@@ -38,9 +39,9 @@ def tempered_weights(docs: DataFrame, exponent: float = EXPONENT) -> DataFrame:
 
 def repetition_rates(sizes: DataFrame, epochs: float = 1.0) -> DataFrame:
     """(source, rate) from (source, n, weight): ``epochs`` times the documents of these sources in all."""
-    total = sizes.agg(F.sum("weight").alias("weights"), F.sum("n").alias("documents"))
-    return sizes.crossJoin(F.broadcast(total)).where("weight > 0").select(  # one row of totals
-        "source", F.round(F.col("weight") / F.col("weights") * F.col("documents") * F.lit(epochs) / F.col("n"), 9).alias("rate"))
+    everything = Window.partitionBy()  # a row per source
+    rate = F.col("weight") / F.sum("weight").over(everything) * F.sum("n").over(everything) * F.lit(epochs) / F.col("n")
+    return sizes.select("source", "weight", F.round(rate, 9).alias("rate")).where("weight > 0").select("source", "rate")
 
 
 def poisson_table(rates: DataFrame) -> DataFrame:

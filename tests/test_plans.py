@@ -17,7 +17,10 @@ from triagelake.streaming import scoring
 SMALL = "/root/testdata/sf0.001"
 # quick ones by default; CHECK_ALL=1 runs every query
 QUICK = ["a10_ops_monthly", "a17_box_by_type", "j4_consecutive_events", "m5_rrf_top30", "m16_predictions", "m17_bm25", "m25_arbitration",
-         "m26_nearest_label", "p7_clean_text", "q2_unique", "s3_tolerant_load", "g1_streamed_scores"]
+         "m26_nearest_label", "p7_clean_text", "q2_unique", "s3_tolerant_load", "g1_streamed_scores",
+         "a3_comment_rollup", "a4_comment_snippets", "a14_monthly_trend", "m1_text_neighbours", "m2_fingerprint", "m4_boosted_top15",
+         "m25_gated_predictions", "m31_routing", "m32_anomalies", "p24_tokens", "p27_valid_input", "p31_guidance", "s4_header_contract",
+         "s12_typed_insert", "w4_escalation", "o2_most_duplicated"]
 
 
 def plan(df) -> str:
@@ -38,7 +41,7 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()) if os.environ.get("CHECK_ALL") else QUICK)
+@pytest.mark.parametrize("name", sorted(catalog.queries()) if os.environ.get("CHECK_ALL") else QUICK)
 def test_query_equals_its_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, SMALL), con, entry.oracle_sql()[name]) == ""
 
@@ -63,6 +66,17 @@ def test_limits_reach_the_map_side(spark):
     assert plan(retrieval.top_k(*registry.sides(t), "vec_a", 5)).count("WindowGroupLimit") == 2
 
 
+def test_inputs_are_planned_once(spark):
+    from triagelake.operators import dashboards, evaluation
+    from triagelake.operators.enrichment import hashed_weights
+
+    t = Tracker(spark, SMALL)
+    assert plan(dashboards.anomalies(t.change_features(), t.cleaned())).count("Scan parquet") == 2  # one stored table, twice
+    assert plan(evaluation.routing_share(t.cleaned(), ["issuetype"])).count("orders.parquet") == plan(t.cleaned()).count("orders.parquet")
+    docs = t.table("documents").select(F.col("doc_id").alias("key"), "text")
+    assert plan(hashed_weights(docs, "text")).count("ReadSchema: struct<doc_id:bigint,text:string>") == 0
+
+
 def test_scans_are_pruned_and_filters_pushed(spark):
     t = Tracker(spark, SMALL)
     text = plan(t.ops_mart())

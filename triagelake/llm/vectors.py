@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +35,12 @@ LEAST_COSINE = 0.95
 #: Vectors that centroids are fitted on, and centroids, at most.
 SAMPLE, MOST_CENTROIDS = 20_000, 4096
 SHARD, BLOCK, OVERLAP, MOST_OVERLAP = 1200, 2000, 3, 12
-NEAREST, FAR, DEGREE, ALPHA = 48, 16, 16, 1.2
-BEAM, STARTS = 24, 8
+NEAREST, FAR, DEGREE, REVERSE, ALPHA = 48, 16, 16, 32, 1.2
+BEAM, STARTS = 24, 12
 #: Range expansion steps over nodes this much below the least cosine, too.
-MARGIN = 0.04
+MARGIN = 0.08
+#: Queries that are searched together, and pairs that are expanded together.
+AT_ONCE, PAIRS_AT_ONCE = 256, 8192
 AUDITED, LEAST_RECALL = 200, 0.95
 
 
@@ -98,12 +101,17 @@ def robust_pruned(x: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def with_reverse(adjacency: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges both ways as (from, to), each once."""
+def with_reverse(adjacency: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges as (from, to), each once: those given and, of a node's reverse ones, the
+    ``REVERSE`` nearest (a hub would have one to nearly all)."""
     a, r = np.nonzero(adjacency >= 0)
     b = adjacency[a, r]
-    pairs = np.unique(np.concatenate([a * len(adjacency) + b, b * len(adjacency) + a]))
-    return pairs // len(adjacency), pairs % len(adjacency)
+    near = np.einsum("ij,ij->i", x[a], x[b])
+    order = np.lexsort((-near, b))
+    start = np.searchsorted(b[order], np.arange(len(x)))
+    back = order[np.arange(len(order)) - start[b[order]] < REVERSE]
+    pairs = np.unique(np.concatenate([a * len(x) + b, b[back] * len(x) + a[back]]))
+    return pairs // len(x), pairs % len(x)
 
 
 def table_of(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -126,6 +134,11 @@ def medoids(x: np.ndarray) -> np.ndarray:
 
 def range_search(x: np.ndarray, adjacency: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) with a cosine of ``least`` or more that the search finds."""
+    parts = [(a, *_range_search(x, adjacency, q[a:a + AT_ONCE], least)) for a in range(0, len(q), AT_ONCE)]
+    return np.concatenate([a + i for a, i, _ in parts]), np.concatenate([j for _, _, j in parts])
+
+
+def _range_search(x: np.ndarray, adjacency: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     x32, q32, m = x.astype(np.float32), q.astype(np.float32), len(q)
     starts = medoids(x)
     seen = np.zeros((m, len(x)), bool)
@@ -162,20 +175,24 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, q: np.ndarray, least: flo
     i, j, s = (np.concatenate(c) for c in zip(*reached))
     close = s >= least - MARGIN
     i, j = i[close], j[close]
-    pairs = [(i, j)]
-    while len(i):  # expansion: the neighbours of all that is in reach, until nothing new is
+    pairs, frontier = [(i, j)], [(i, j)]
+    while frontier:  # expansion: the neighbours of all that is in reach, until nothing new is
+        i, j = frontier.pop()
+        if len(i) > PAIRS_AT_ONCE:
+            frontier += [(i[PAIRS_AT_ONCE:], j[PAIRS_AT_ONCE:])]
+            i, j = i[:PAIRS_AT_ONCE], j[:PAIRS_AT_ONCE]
         found = adjacency[j]
         a, r = np.nonzero(found >= 0)
-        key = np.unique(i[a] * len(x) + found[a, r])
+        new = ~seen[i[a], found[a, r]]
+        key = np.unique(i[a[new]] * len(x) + found[a[new], r[new]])
         i, j = key // len(x), key % len(x)
-        new = ~seen[i, j]
-        i, j = i[new], j[new]
         seen[i, j] = True
         close = np.einsum("ij,ij->i", x32[j], q32[i]) >= least - MARGIN
-        i, j = i[close], j[close]
-        pairs.append((i, j))
+        if close.any():
+            pairs.append((i[close], j[close]))
+            frontier.append(pairs[-1])
     i, j = (np.concatenate(c) for c in zip(*pairs))
-    exact = np.concatenate([np.einsum("ij,ij->i", q[i[a:a + 65536]], x[j[a:a + 65536]]) for a in range(0, len(i), 65536)] or [np.zeros(0)])
+    exact = np.concatenate([np.einsum("ij,ij->i", q[i[a:a + 16384]], x[j[a:a + 16384]]) for a in range(0, len(i), 16384)] or [np.zeros(0)])
     return i[exact >= least], j[exact >= least]
 
 
@@ -209,7 +226,7 @@ def _links(nodes: DataFrame, dim: int, overlap: int, least: float) -> DataFrame:
 
     def build(table: pa.Table) -> pa.Table:
         x, node = matrix(table["embedding"], dim), table["node"].to_numpy()
-        a, b = with_reverse(robust_pruned(x, int(table["shard"][0].as_py())))
+        a, b = with_reverse(robust_pruned(x, int(table["shard"][0].as_py())), x)
         lists = np.split(node[b], np.cumsum(np.bincount(a, minlength=len(node)))[:-1])
         return pa.table([table["node"], pa.array([v.tolist() for v in lists], pa.list_(pa.int64()))], names=["node", "neighbours"])
 
@@ -223,7 +240,7 @@ def _links(nodes: DataFrame, dim: int, overlap: int, least: float) -> DataFrame:
         "shard", "block", "asked", F.lit(True).alias("query"), "node", "copies", "embedding", "shards", F.lit(None).cast("array<bigint>").alias("neighbours"))
 
     def search(table: pa.Table) -> pa.Table:
-        index, query = (table.filter(pa.compute.equal(table["query"], v)) for v in (False, True))
+        index, query = (table.filter(pc.equal(table["query"], v)) for v in (False, True))
         x, q = matrix(index["embedding"], dim), matrix(query["embedding"], dim)
         node, ask = index["node"].to_numpy(), query["node"].to_numpy()
         order = np.argsort(node)

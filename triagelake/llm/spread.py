@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +76,7 @@ def answer(rows: DataFrame, work: Callable[[pa.Table], Sends]) -> DataFrame:
 
 
 def received(table: pa.Table, column: str, dtype, kind: int | None = None) -> list[np.ndarray]:
-    rows = table if kind is None else table.filter(pa.compute.equal(table["kind"], kind))
+    rows = table if kind is None else table.filter(pc.equal(table["kind"], kind))
     return [unpacked(x, dtype) for x in rows[column].to_pylist()]
 
 
@@ -100,7 +101,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21,
         if not batch.num_rows:
             continue
         text = batch.column(batch.schema.get_field_index(column))
-        sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(text).to_numpy(zero_copy_only=False), np.float64))
+        sizes = np.nan_to_num(np.asarray(pc.binary_length(text).to_numpy(zero_copy_only=False), np.float64))
         part = (np.cumsum(sizes) - sizes) // limit
         edges = sorted({0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), *range(0, batch.num_rows, rows), batch.num_rows})
         for a, b in zip(edges, edges[1:]):

@@ -19,13 +19,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id stays (of
-    rows with one id, the one with the shortest text)."""
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_key")
-    classes = simhash.near_duplicates(docs)
-    stay = classes.where("doc_id <=> component_id").select(key).distinct()
-    kept = docs.select(key, F.struct(*docs.columns).alias("_row"), F.struct(F.length("text"), F.xxhash64("text")).alias("_rank")).join(stay, "_key", "left_semi")
-    return kept.groupBy("_key").agg(F.min_by("_row", "_rank").alias("_row")).select("_row.*")  # the join has dealt the keys out
+    """Of each component of near-duplicates one document stays: the one with the smallest
+    id (null last), and of rows with one id the one with the least hash of its text."""
+    number = F.col("doc_id").cast("bigint")
+    key = [F.coalesce(number, F.lit(0)).alias("_id"), number.isNull().alias("_no_id")]
+    stay = simhash.representatives(docs).select(*key, F.col("text_hash").alias("_text"))
+    names = ["_id", "_no_id", "_text"]
+    keyed = docs.select(*key, F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_row")).join(stay, names, "left_semi")
+    # rows with one id and one text: any of them, by their other columns; the join has dealt the keys out
+    return keyed.groupBy(*names).agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

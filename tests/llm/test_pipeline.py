@@ -54,6 +54,14 @@ def test_stages_take_repeated_and_null_ids(spark, docs_of):
         assert stage(spark, docs.where("false"), "").collect() == []
 
 
+def test_every_component_keeps_one_row(spark, docs_of):
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in ("one", "two", "three", "four", "five")]
+    rows = [(1, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2] + " with more"), (2, texts[3]), (2, texts[4]), (2, texts[4]), (3, texts[3]), (0, None), (None, "")]
+    got = corpus_pipeline.simhash_dedup(spark, docs_of(rows), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        [(1, texts[0]), (None, texts[1]), (None, texts[2] + " with more"), (2, texts[3]), (2, texts[4]), (0, None)])
+
+
 def test_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries())
     assert numbers == list(range(1, 11)) and set(catalog.oracle_sql()) <= set(catalog.queries())

@@ -62,16 +62,20 @@ def fingerprints_of(texts: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarray:
     return bit_majorities(xxh64(w.data, w.starts[first], w.ends[last], HASH_SEED), bounds)
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, text_hash: str | None = None) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint as a signed long. Where ``text_hash`` names a
+    column, xxhash64 of the text stands there."""
     ship_package(docs.sparkSession)
+    more = [F.xxhash64("text").alias(text_hash)] if text_hash else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = fingerprints_of(batch.column("text"), words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = pa.array(fingerprints_of(batch.column("text"), words).view(np.int64))
+            columns = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != "text"} | {"fp": found}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    target = "doc_id bigint, " + (f"{text_hash} bigint, " if text_hash else "") + "fp bigint"
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *more, "text").mapInArrow(run, target)
 
 
 def near_pairs(keys: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -168,16 +172,31 @@ def link_edges(distinct: DataFrame, most: int = MAX_DIFFERENCE) -> DataFrame:
     return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_DIFFERENCE) -> DataFrame:
-    """(doc_id, fp, component_id, n_same): a row per row of ``docs``; component_id is the
-    smallest doc_id reachable over links, n_same the rows with the same fingerprint."""
-    prints = materialise(fingerprints(docs, words), "fingerprints")
+def classed(prints: DataFrame, most: int = MAX_DIFFERENCE) -> DataFrame:
+    """(fp, n_same, root, component_id) per distinct fingerprint of ``prints`` (doc_id, fp);
+    root is the smallest fingerprint of the component, as a signed long."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same"))
     linked = components(link_edges(distinct.select("fp"), most), "simhash")
     rooted = distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", "least", "n_same", F.coalesce("root", "fp").alias("root"))
     tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(tops, "root").select("fp", "n_same", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", "n_same")
+    return rooted.join(tops, "root").select("fp", "n_same", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_DIFFERENCE) -> DataFrame:
+    """(doc_id, fp, component_id, n_same): a row per row of ``docs``; component_id is the
+    smallest doc_id reachable over links, n_same the rows with the same fingerprint."""
+    prints = materialise(fingerprints(docs, words), "fingerprints")
+    return prints.join(classed(prints, most).drop("root"), "fp").select("doc_id", "fp", "component_id", "n_same")
+
+
+def representatives(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_DIFFERENCE) -> DataFrame:
+    """(doc_id, text_hash): per component the least id (null last) and of rows with that
+    id the least hash of a text."""
+    prints = materialise(fingerprints(docs, words, "text_hash"), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    firsts = prints.groupBy("fp").agg(F.min(rank).alias("first"))
+    tops = classed(prints, most).join(firsts, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return tops.select("first.doc_id", "first.text_hash")
 
 
 def with_hex(found: DataFrame) -> DataFrame:

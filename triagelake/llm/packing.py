@@ -1,15 +1,19 @@
 """Best-fit packing into fixed-length sequences by a grouping genetic algorithm.
 
 A document is its token ids and one end id; longer ones than a sequence are cut into
-whole sequences, behind a first piece with the rest. Pieces are dealt out to shards of
-bounded size. Every shard is worked on by several islands: populations of solutions
+whole sequences, behind a first piece with the rest. Pieces are dealt out in
+the order of their lengths, one by one, to shards of bounded size, so each holds the mix
+of lengths, however the rows are ordered. Every shard is worked on by several islands: populations of solutions
 (lists of bins), started by best fit over differently shaken orders. A crossover
 injects whole well-filled bins of one parent into the other, drops the bins there
 that hold the same pieces, and best-fits the displaced ones; a mutation empties the
 worst bins. Between epochs an island's elite migrates to the next island of its shard.
-An island stops at the lower bound. The worst bins of a shard's best solution are then
-opened and packed anew together with those of other shards, 64 shards at a time, until
-one group is left, so the slack of all is that of one group.
+An island stops at the lower bound. The bins of a shard's best solution that hold its
+slack are then opened and packed anew together with those of other shards, in as many
+groups as their pieces fill. Once a level opens over half of its pieces (lengths that
+leave room in nearly every bin), the levels after it open the worst bins of each group
+only: groups hold one mix, so what they can still gain is the rest of each. The last
+level is one group.
 
 Null and empty texts are a piece of the end id alone; repeated ids and rows are packed
 like others (a row each); a null id is kept; other columns are ignored; an empty table
@@ -33,10 +37,10 @@ from triagelake.llm.spread import slices
 from triagelake.session import materialise, ship_package
 
 SEQUENCE, END_ID = 2048, 0
-SHARD_PIECES, FAN_IN = 2000, 64
+SHARD_PIECES = 2000
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 6
 #: The worst bins of a shard, which hold this share of its slack, are opened again; so
-#: many at most, as the slack of a shard is that of a few.
+#: many at most after a level that has opened over half of its pieces.
 SLACK_OPENED, MOST_OPENED = 0.95, 64
 SEED = 11
 
@@ -45,14 +49,14 @@ _PIECE = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
 
 
 def pieces(docs: DataFrame, size: int = SEQUENCE, tokenizer: str = tokens.TOKENIZER) -> DataFrame:
-    """A row per piece with shard: consecutive pieces of an input partition."""
+    """A row per piece with row, a number of its own: input partition and place there."""
     ship_package(docs.sparkSession)
-    target = pa.schema([*_PIECE, ("shard", pa.int64())])
+    target = pa.schema([*_PIECE, ("row", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, first, done = tokens.encoder(tokenizer), TaskContext.get().partitionId() << 32, 0
+        encoder, first, done = tokens.encoder(tokenizer), TaskContext.get().partitionId() << 40, 0
         for batch in slices(batches, "text"):
             ids, bounds = encoder.encode(batch.column("text"))
             rows = []
@@ -61,11 +65,19 @@ def pieces(docs: DataFrame, size: int = SEQUENCE, tokenizer: str = tokens.TOKENI
                 cut = list(range(len(own) % size, len(own), size)) if len(own) > size else []
                 edges = sorted({0, *cut, len(own)})
                 for k, (x, y) in enumerate(zip(edges, edges[1:])):
-                    rows.append((doc, k, x, y - x, zlib.crc32(own[x:y].astype("<u4").tobytes()), first + done // SHARD_PIECES))
+                    rows.append((doc, k, x, y - x, zlib.crc32(own[x:y].astype("<u4").tobytes()), first + done))
                     done += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PIECE + ", shard bigint")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PIECE + ", row bigint")
+
+
+def dealt(own: DataFrame, shards: int) -> DataFrame:
+    """``own`` with group: shards in turn along the lengths, from a hashed one on in each range."""
+    parts = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = own.repartitionByRange(parts, "length", "row").sortWithinPartitions("length", "row").withColumn("_at", F.monotonically_increasing_id())
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.pmod(F.xxhash64(F.shiftright("_at", 33)), F.lit(shards))
+    return ranked.withColumn("group", F.pmod(place, F.lit(shards)).cast("bigint")).drop("_at", "row")
 
 
 # -- the algorithm, on one shard --------------------------------------------------------
@@ -172,8 +184,8 @@ _PLACED = pa.schema([*_PIECE, ("group", pa.int64()), ("bin", pa.int32()), ("offs
 _PLACED_DDL = PIECE + ", group bigint, bin int, offset bigint, open boolean"
 
 
-def _champion(table: pa.Table, size: int, last: bool) -> pa.Table:
-    """Places of the best island's solution; the worst bins are left open for the next level."""
+def _champion(table: pa.Table, size: int, last: bool, most: int | None) -> pa.Table:
+    """Places of the best island's solution; the worst bins (``most`` at most) are left open for the next level."""
     best = None
     for k in sorted(set(table["island"].to_pylist())):
         t = table.filter(pc.equal(table["island"], k)).sort_by(_ORDER)
@@ -188,7 +200,7 @@ def _champion(table: pa.Table, size: int, last: bool) -> pa.Table:
         worst = np.argsort(fill, kind="stable")
         slack = size - fill[worst]
         ahead = np.cumsum(slack) - slack
-        opened[worst[(slack > 0) & (ahead < SLACK_OPENED * slack.sum())][:MOST_OPENED]] = True
+        opened[worst[(slack > 0) & (ahead < SLACK_OPENED * slack.sum())][:most]] = True
     offset = np.zeros(len(length), np.int64)
     for b in bins:
         at = 0
@@ -200,7 +212,7 @@ def _champion(table: pa.Table, size: int, last: bool) -> pa.Table:
     return pa.table([made.get(f.name, t[f.name] if f.name not in made else None) for f in _PLACED], schema=_PLACED)
 
 
-def _level(grouped: DataFrame, size: int, last: bool) -> DataFrame:
+def _level(grouped: DataFrame, size: int, last: bool, most: int | None) -> DataFrame:
     islands = grouped.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))).withColumns(
         {"bin": F.lit(None).cast("int"), "immigrant": F.lit(0)})
     for epoch in range(EPOCHS):
@@ -209,27 +221,31 @@ def _level(grouped: DataFrame, size: int, last: bool) -> DataFrame:
             islands = islands.unionByName(migrants)
         islands = islands.groupBy("group", "island").applyInArrow(lambda t: _island(t, size), _POPULATION_DDL)
         islands = islands.select(*(f.name for f in _POPULATION))
-    return islands.groupBy("group").applyInArrow(lambda t: _champion(t, size, last), _PLACED_DDL)
+    return islands.groupBy("group").applyInArrow(lambda t: _champion(t, size, last, most), _PLACED_DDL)
 
 
 def pack(docs: DataFrame, size: int = SEQUENCE, tokenizer: str = tokens.TOKENIZER) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
     own = materialise(pieces(docs, size, tokenizer), "pieces")
-    out, level = None, 0
-    shards = own.select("shard").distinct().count()
-    grouped = own.withColumnRenamed("shard", "group")
+    out, level, most, held = None, 0, None, own.count()
+    shards = max(1, -(-held // SHARD_PIECES))
+    grouped = materialise(dealt(own, shards), "dealt")
     while True:
-        last = shards <= 1
-        placed = materialise(_level(grouped.select(*(n for n, _ in _PIECE), "group"), size, last), f"packed-{level}")
+        last = shards == 1
+        placed = materialise(_level(grouped.select(*(n for n, _ in _PIECE), "group"), size, last, most), f"packed-{level}")
         closed = placed.where("NOT open").select(
             *(n for n, _ in _PIECE),
             F.struct(F.lit(level).alias("level"), "group", "bin").alias("at"), "offset")
         out = closed if out is None else out.unionByName(closed)
-        if last:
+        opened = placed.where("open")
+        left = 0 if last else opened.count()
+        if not left:
             break
-        shards, level = -(-shards // FAN_IN), level + 1
-        grouped = placed.where("open").withColumn("group", F.pmod(F.xxhash64("group"), F.lit(shards)))
-    # level, group (partition and shard of it, or a hash class) and bin make one number
-    number = (F.col("at.level").cast("bigint") * F.lit(1 << 58)) + (F.shiftright("at.group", 32) * F.lit(1 << 36)) + (
-        F.col("at.group").bitwiseAND(F.lit((1 << 32) - 1)) * F.lit(1 << 14)) + F.col("at.bin")
+        if 2 * left > held:
+            most = MOST_OPENED
+        # fewer groups at every level, so that it ends
+        held, shards, level = left, min(-(-left // SHARD_PIECES), -(-shards // 2)), level + 1
+        grouped = opened.withColumn("group", F.pmod(F.xxhash64(F.lit(level), "group", "bin"), F.lit(shards)))
+    # level, group and bin make one number
+    number = F.col("at.level").cast("bigint") * F.lit(1 << 58) + F.col("at.group") * F.lit(1 << 14) + F.col("at.bin")
     return out.select(*(n for n, _ in _PIECE), number.alias("sequence_id"), "offset")

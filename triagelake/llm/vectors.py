@@ -6,11 +6,14 @@ nodes is cut in blocks. In each block every node gets neighbours by robust pruni
 its nearest nodes and some far ones, with the reverse edges; the adjacency lists of a
 node from all its shards are united to one flat graph. A node is then looked for in
 all blocks of its shards: greedy beam search from the block's medoids, then range
-expansion over every node in reach. Pairs found are verified in double precision, and
-counted in the first shard that both ends share. What leaves a task is a row per node
-(its links and the smallest node of its component there), never the pairs. Recall is
-audited against brute force on a bounded sample; while it is below ``LEAST_RECALL``,
-the overlap is doubled.
+expansion over every node in reach; a sweep over the block adds what the search has
+missed, so all shards that both ends share find a pair. Pairs are verified in double
+precision, and counted in the first of these shards. What leaves a task is a row per
+node (its links and the smallest node of its component there), never the pairs.
+Recall, averaged over nodes, is audited against brute force until ``AUDITED`` nodes with
+links are met or the last of ``AUDIT_SIZES`` nodes are looked at; without a linked node
+among these it is null. While it is below ``LEAST_RECALL``, the overlap is doubled; past
+``MOST_OVERLAP`` all nodes are one shard, whose blocks all meet.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with
 nothing and are their own component; shorter vectors count as filled up with zeros;
@@ -42,6 +45,8 @@ MARGIN = 0.08
 #: Queries that are searched together, and pairs that are expanded together.
 AT_ONCE, PAIRS_AT_ONCE = 256, 8192
 AUDITED, LEAST_RECALL = 200, 0.95
+#: Nodes that an audit looks at, as long as too few of them have links.
+AUDIT_SIZES = (1000, 5000, 20_000)
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -196,16 +201,29 @@ def _range_search(x: np.ndarray, adjacency: np.ndarray, q: np.ndarray, least: fl
     return i[exact >= least], j[exact >= least]
 
 
+def swept(x: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (query, node) with a cosine of ``least`` or more, verified as the search does."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for a in range(0, len(q), AT_ONCE):
+        i, j = np.nonzero(q[a:a + AT_ONCE] @ x.T >= least - 1e-9)
+        for b in range(0, len(i), 16384):
+            u, v = i[b:b + 16384] + a, j[b:b + 16384]
+            fine = np.einsum("ij,ij->i", q[u], x[v]) >= least
+            out.append((u[fine], v[fine]))
+    i, j = (np.concatenate(c) for c in zip(*out))
+    return i, j
+
+
 # -- the jobs ---------------------------------------------------------------------------
 
 
 def _assigned(nodes: DataFrame, dim: int, overlap: int) -> tuple[DataFrame, int]:
-    """(node, copies, embedding, shards): shards ascending."""
+    """(node, copies, embedding, shards): shards ascending; no overlap means one shard."""
     n = nodes.count()
     k = int(min(MOST_CENTROIDS, max(1, -(-n * overlap // SHARD))))
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(max(1, n // SAMPLE))) == 0).select("embedding").limit(SAMPLE).toArrow()
     centroids = fit_centroids(matrix(sample["embedding"], dim), k) if n and sample.num_rows else np.zeros((1, dim))
-    width = min(overlap, len(centroids))
+    width = min(max(1, overlap), len(centroids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,10 +267,9 @@ def _links(nodes: DataFrame, dim: int, overlap: int, least: float) -> DataFrame:
         at = order[np.minimum(np.searchsorted(node[order], b), len(node) - 1)]
         here = node[at] == b
         i, j = range_search(x, table_of(a[here], at[here], len(node)), q, least)
-        if table["block"][0].as_py() == table["asked"][0].as_py():  # queries and nodes are the same: a link found from one end is one of both
-            back, there = np.argsort(ask)[np.searchsorted(np.sort(ask), node)], order[np.searchsorted(node[order], ask)]
-            key = np.unique(np.concatenate([i * len(node) + j, back[j] * len(node) + there[i]]))
-            i, j = key // len(node), key % len(node)
+        more = swept(x, q, least)
+        key = np.unique(np.concatenate([i * len(node) + j, more[0] * len(node) + more[1]]))
+        i, j = key // len(node), key % len(node)
         other = ask[i] != node[j]
         i, j = i[other], j[other]
         shared = np.stack(query["shards"].to_pylist())[i][:, :, None] == np.stack(index["shards"].to_pylist())[j][:, None, :]
@@ -278,24 +295,34 @@ def _links(nodes: DataFrame, dim: int, overlap: int, least: float) -> DataFrame:
     return searched.unionByName(asked).groupBy("shard", "block", "asked").applyInArrow(search, "node bigint, links bigint, root bigint")
 
 
-def _audit(nodes: DataFrame, found: DataFrame, dim: int, least: float) -> float:
-    """Share of the links of sampled nodes that were found, by brute force over all nodes."""
-    sample = nodes.orderBy(F.xxhash64("node")).limit(AUDITED).select("node", "embedding").toArrow()
-    if not sample.num_rows:
-        return 1.0
-    q, ask = matrix(sample["embedding"], dim), sample["node"].to_numpy()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = q @ matrix(batch.column("embedding"), dim).T >= least
-                near &= ask[:, None] != batch.column("node").to_numpy()[None]
-                total = near @ batch.column("copies").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(ask), pa.array(total.astype(np.int64))], names=["node", "due"])
-
-    due = nodes.mapInArrow(run, "node bigint, due bigint").groupBy("node").agg(F.sum("due").alias("due"))
-    got = due.join(found, "node", "left").agg(F.sum("due"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+def _audit(nodes: DataFrame, found: DataFrame, dim: int, least: float) -> float | None:
+    """Mean over sampled nodes with links of the share of these that was found, by brute
+    force over all nodes; null if no node of the largest sample has any."""
+    recall = None
+    for size in AUDIT_SIZES:
+        sample = nodes.orderBy(F.xxhash64("node")).limit(size).select("node", "embedding").toArrow()
+        if not sample.num_rows:
+            break
+        q, ask = matrix(sample["embedding"], dim), sample["node"].to_numpy()
+
+        def run(batches: Iterator[pa.RecordBatch], q=q, ask=ask) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(ask), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    x, node, copies = matrix(batch.column("embedding"), dim), batch.column("node").to_numpy(), batch.column("copies").to_numpy()
+                    for a in range(0, len(ask), AT_ONCE):
+                        near = q[a:a + AT_ONCE] @ x.T >= least
+                        near &= ask[a:a + AT_ONCE, None] != node[None]
+                        total[a:a + AT_ONCE] += near @ copies
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(ask[some]), pa.array(total[some])], names=["node", "due"])
+
+        due = nodes.mapInArrow(run, "node bigint, due bigint").groupBy("node").agg(F.sum("due").alias("due"))
+        share = F.least(F.coalesce("links", F.lit(0)) / F.col("due"), F.lit(1.0))
+        linked, recall = due.join(found, "node", "left").agg(F.count("*"), F.avg(share)).first()
+        if linked >= AUDITED or sample.num_rows < size:
+            break
+    return recall
 
 
 def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE, overlap: int = OVERLAP) -> DataFrame:
@@ -316,13 +343,15 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE, overlap:
         found = materialise(_links(slim, dim, overlap, least), "links")
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         recall = _audit(slim, links, dim, least)
-        if recall >= LEAST_RECALL or overlap >= MOST_OVERLAP:
+        if recall is None or recall >= LEAST_RECALL:
             break
-        overlap *= 2
+        if not overlap:
+            raise ValueError(f"a recall of {recall} with all blocks compared")
+        overlap = 2 * overlap if 2 * overlap <= MOST_OVERLAP else 0
     joined = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")), "vectors")
     rooted = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")).join(links, "node", "left")
     tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(tops, "root").select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     out = rows.where("fine").join(classes, "embedding").select("vec_id", "n_links", "component_id").unionByName(
         rows.where("NOT fine").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")))
-    return out.withColumn("kept", F.equal_null("vec_id", "component_id")).withColumn("audited_recall", F.lit(float(recall)))
+    return out.withColumn("kept", F.equal_null("vec_id", "component_id")).withColumn("audited_recall", F.lit(recall).cast("double"))

@@ -22,7 +22,8 @@ from triagelake.llm.spread import small
 SEED = "mix-1"
 #: Target weight of a source as a power of its share; 1 leaves the mixture as it is, 0 evens it out.
 EXPONENT = 0.5
-#: Poisson means are split up to here, so that exp(-mean) stays far from zero.
+#: Above this mean a distribution function starts 12 deviations below it, not at 0, where
+#: exp(-mean) comes near to zero; what lies before is below 2**-100.
 LARGEST_MEAN = 500.0
 
 
@@ -45,38 +46,44 @@ def repetition_rates(sizes: DataFrame, epochs: float = 1.0) -> DataFrame:
 
 
 def poisson_table(rates: DataFrame) -> DataFrame:
-    """(source, cdf): the distribution function at 0, 1, 2, ... until it is flat in doubles."""
-    mean = F.least(F.col("rate"), F.lit(LARGEST_MEAN))
-    start = F.struct(F.exp(-mean).alias("p"), F.array(F.exp(-mean)).alias("cdf"))
-    steps = F.sequence(F.lit(1), F.ceil(mean + 12 * F.sqrt(mean) + 24).cast("int"))
+    """(source, rate, first, cdf): the distribution function at first, first + 1, ... until
+    it is flat in doubles."""
+    mean = F.col("rate")
+    far = mean > LARGEST_MEAN
+    reach = 12 * F.sqrt(mean) + 24
+    first = F.when(far, F.floor(mean - reach)).otherwise(F.lit(0)).cast("int")
+    p = F.when(far, F.lit(1.0)).otherwise(F.exp(-mean))
+    start = F.struct(p.alias("p"), F.array(p).alias("cdf"))
+    steps = F.sequence(first + 1, F.ceil(mean + reach).cast("int"))
 
     def step(state: Column, k: Column) -> Column:
         p = state["p"] * mean / k
         return F.struct(p.alias("p"), F.concat(state["cdf"], F.array(F.element_at(state["cdf"], -1) + p)).alias("cdf"))
 
-    return rates.select("source", "rate", F.aggregate(steps, start, step)["cdf"].alias("cdf"))
+    sums = rates.select("source", "rate", first.alias("first"), F.aggregate(steps, start, step)["cdf"].alias("cdf"))
+    whole = F.element_at("cdf", -1)
+    return sums.withColumn("cdf", F.when(far, F.transform("cdf", lambda c: c / whole)).otherwise(F.col("cdf")))
 
 
 def replicate(docs: DataFrame, weights: DataFrame | None = None, *, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
     """``docs`` with a row per copy, plus rate, n_copies, copy (from 0) and shuffle_key.
     ``weights`` holds (source, weight); by default the tempered shares. The rows come
     dealt out and sorted by shuffle_key, which is a hash, so files written from them
-    are a global shuffle. The table of rates has a row per source; a rate above
-    ``LARGEST_MEAN`` draws that mean and repeats the result in proportion."""
+    are a global shuffle. The table of rates has a row per source."""
     sizes = tempered_weights(docs)
     if weights is not None:
         given = weights.groupBy("source").agg(F.max("weight").cast("double").alias("weight"))
         sizes = sizes.drop("weight").alias("s").join(given.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source"))).select("s.source", "n", "weight")
-    table = small(poisson_table(repetition_rates(small(sizes, "sizes"), epochs)), "rates").withColumnRenamed("source", "_source")
+    table = small(poisson_table(repetition_rates(small(sizes, "sizes"), epochs)), "rates").withColumnsRenamed({"source": "_source", "first": "_first"})
     docs = docs.drop("rate", "n_copies", "copy", "shuffle_key")
     drawn = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
     counted = (
         docs.join(table, docs["source"].eqNullSafe(table["_source"]))
         .withColumn("_u", uniform(F.col("doc_id"), seed))
-        .withColumn("n_copies", F.round(drawn * F.greatest(F.lit(1.0), F.col("rate") / LARGEST_MEAN)).cast("bigint"))
+        .withColumn("n_copies", F.col("_first").cast("bigint") + drawn)
         .where("n_copies > 0")
     )
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)))
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/"), F.col("copy").cast("string"), F.lit(":" + seed)))
-    out = copies.withColumn("shuffle_key", key).drop("_source", "cdf", "_u")
+    out = copies.withColumn("shuffle_key", key).drop("_source", "_first", "cdf", "_u")
     return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

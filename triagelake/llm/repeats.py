@@ -102,8 +102,7 @@ class _Candidates:
         keys, whole, _ = _probes(w, window, buckets)
         hit = whole & _among(keys, _joined(answers, "a", 0))
         size = (window + 1) // 2
-        ids = table["doc_id"].to_pandas().fillna(LAST).astype(np.int64).to_numpy() if table["doc_id"].null_count else table["doc_id"].to_numpy()
-        self.ids = ids
+        self.ids = pc.fill_null(table["doc_id"], pa.scalar(LAST, pa.int64())).to_numpy()
         n = max(0, len(w.starts) - window + 1)
         near = np.concatenate([[0], np.cumsum(hit)])
         reach = window - size + 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import chat, hpylm, langid, mixing, outliers, packing, repeats, simhash, vectors, warc
+from triagelake.llm import anchors, ballcodes, chat, hpylm, langid, layers, mixing, outliers, packing, repeats, simhash, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -133,11 +133,64 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.with_hex(simhash.near_duplicates(_table(spark, folder, "documents")))
 
 
+def op11_secret_layers(spark: SparkSession, folder: str) -> DataFrame:
+    found = layers.scan(_table(spark, folder, "documents"))
+    base = layers.base_of("spans")
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in layers.KINDS]
+    return found.select("doc_id", *counts, F.sha2(layers.listed(base), 256).alias("base_sha256"), layers.listed("spans").alias("spans"),
+                        "n_layers", "n_unopened")
+
+
+def op12_ball_codes(spark: SparkSession, folder: str) -> DataFrame:
+    made = ballcodes.compress(_table(spark, folder, "embeddings"))
+    return ballcodes.with_label_error(made.codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(made.digest()).alias("codebooks_sha256"))
+
+
+def _op12_sql() -> str:
+    """The rounds written out; sums of products of these integers are exact in doubles."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS i, vec_id, label, [floor({ballcodes.SCALE} * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS MATERIALIZED (
+  SELECT i, p, list_slice(v, p * len(v) // {ballcodes.PARTS} + 1, (p + 1) * len(v) // {ballcodes.PARTS}) AS v
+  FROM kept, (SELECT unnest(range({ballcodes.PARTS})) AS p)
+), book0 AS MATERIALIZED (SELECT p, i - 1 AS e, v AS c FROM parts WHERE i <= {ballcodes.ENTRIES})"""]
+    for turn in range(ballcodes.ROUNDS + 1):
+        steps.append(f"""near{turn} AS MATERIALIZED (
+  SELECT i, p, min({{'d': list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c), 'e': e}}) AS best
+  FROM parts JOIN book{turn} USING (p) GROUP BY i, p)""")
+        if turn < ballcodes.ROUNDS:
+            steps.append(f"""sums{turn} AS MATERIALIZED (
+  SELECT p, e, list(m ORDER BY j) AS c FROM (
+    SELECT p, e, j, floor(sum(x) / count(*)) AS m FROM (
+      SELECT p, near{turn}.best.e AS e, unnest(range(len(v))) AS j, unnest(v) AS x FROM parts JOIN near{turn} USING (i, p)) GROUP BY p, e, j) GROUP BY p, e
+), book{turn + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM book{turn} b LEFT JOIN sums{turn} s USING (p, e))""")
+    last = ballcodes.ROUNDS
+    return f"""WITH {", ".join(steps)},
+coded AS (
+  SELECT i, string_agg(lower(lpad(to_hex(best.e), 2, '0')), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{last} GROUP BY i
+), digest AS (
+  SELECT sha256(string_agg(array_to_string([x::BIGINT for x in c], ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{last}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (i), digest"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_token_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    return anchors.aligned_digest(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_robust_outliers, op2_warc_index, op3_chat_format, op4_pack_sequences, op5_language_centroids,
-        op6_mix_sources, op7_pitman_yor_score, op8_vector_graph, op9_substring_dedup, op10_simhash)}
+        op6_mix_sources, op7_pitman_yor_score, op8_vector_graph, op9_substring_dedup, op10_simhash, op11_secret_layers, op12_ball_codes, op13_token_anchors)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_index": OP2_SQL, "op3_chat_format": OP3_SQL, "op6_mix_sources": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op2_warc_index": OP2_SQL, "op3_chat_format": OP3_SQL, "op6_mix_sources": OP6_SQL, "op9_substring_dedup": OP9_SQL,
+            "op12_ball_codes": OP12_SQL}

@@ -23,12 +23,14 @@ AT_ONCE = 8192
 
 
 class Encoder:
-    def __init__(self, name: str):
+    def __init__(self, name: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        if plain:  # strings of special tokens are ordinary text
+            self.tokenizer.encode_special_tokens = True
         self.hashes = np.zeros(0, np.uint64)  # ascending
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each piece, in ids
         self.ids = np.zeros(0, np.uint32)

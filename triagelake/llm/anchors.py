@@ -37,11 +37,10 @@ from triagelake.llm.words import buffer_of, mixed
 from triagelake.session import materialise, ship_package
 
 PIECES = "piece_bpe_32k.model"
-#: Windows whose alignment a worker keeps.
-KEPT_WINDOWS = 200_000
+#: Windows whose alignment, and pieces of texts whose ids, a worker keeps.
+KEPT_WINDOWS, KEPT_PIECES = 300_000, 500_000
 #: Bytes of text that are aligned together.
 SLICE_BYTES = 1 << 21
-SPACE = 0x20
 
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
            "link_a array<int>, link_b array<int>, times array<int>")
@@ -69,30 +68,45 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
-class Tokenizers:
-    def __init__(self, bpe: str, pieces: str):
+class PieceEncoder(tokens.Encoder):
+    """Ids by a piece model that puts a space before each text. No piece of it has a space
+    mark behind another character, so no merge crosses the spaces at which texts are cut,
+    and every cut piece begins with the space that the model adds."""
+
+    def __init__(self, name: str):
         import public_tokenizers
         import sentencepiece
 
-        self.a = tokens.Encoder(bpe, plain=True)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces if os.path.isabs(pieces) else public_tokenizers.path(pieces))
+        self.model = sentencepiece.SentencePieceProcessor(model_file=name if os.path.isabs(name) else public_tokenizers.path(name))
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        if any("▁" in n.lstrip("▁") for n in names):
+            raise ValueError(f"{name}: a piece spans white space, its texts can't be cut there")
+        self.words = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
+        self._start()
+
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+        return self.model.encode([p[1:] for p in pieces], num_threads=1)
+
+
+class Tokenizers:
+    def __init__(self, bpe: str, pieces: str):
+        self.a, self.b = tokens.Encoder(bpe, plain=True), PieceEncoder(pieces)
+        self.a.kept_pieces = self.b.kept_pieces = KEPT_PIECES
         stand_in, vocabulary = _byte_level(), self.a.tokenizer.get_vocab(with_added_tokens=True)
         spelled = [b""] * (max(vocabulary.values()) + 1)
         for word, i in vocabulary.items():
             spelled[i] = bytes(stand_in[c] for c in word) if all(c in stand_in for c in word) else word.encode()
-        self.spell_a = Spelling(spelled)
-        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.spell_b = Spelling([bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)])
-        self.kept: dict[tuple[bytes, bytes], tuple[str, np.ndarray]] = {}
+        self.spell_a, self.spell_b = Spelling(spelled), Spelling(self.b.words)
+        # alignments kept: number by ids, groups as text, links with their bounds
+        self.kept: dict[bytes, int] = {}
+        self.texts = pa.array([], pa.string())
+        self.links, self.bounds = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
         """Ids and bounds by A, the same by B, bytes of the spaced texts and their bounds."""
         spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts.cast(pa.large_string()), pa.scalar("", pa.large_string()))
-        found = self.b.encode(texts.to_pylist(), num_threads=1)
-        bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
-        ids = np.fromiter((i for f in found for i in f), np.int64, bounds[-1])
-        a, a_bounds = self.a.encode(spaced)
-        return (a.astype(np.int64), a_bounds), (ids, bounds), *buffer_of(spaced)
+        (a, a_bounds), (b, b_bounds) = self.a.encode(spaced), self.b.encode(spaced)
+        return (a.astype(np.int64), a_bounds), (b.astype(np.int64), b_bounds), *buffer_of(spaced)
 
 
 @lru_cache(maxsize=2)
@@ -142,35 +156,51 @@ def _distinct(a: np.ndarray, first_a: np.ndarray, b: np.ndarray, first_b: np.nda
     return np.append(one, odd), kind
 
 
-def _aligned_windows(t: Tokenizers, a: list[np.ndarray], b: list[np.ndarray]) -> list[tuple[str, np.ndarray]]:
-    """Groups as text, and links as A id, B id rows, of each window."""
-    all_a, all_b = np.concatenate(a), np.concatenate(b)
-    ends_a, ends_b = np.cumsum(t.spell_a.sizes[all_a]), np.cumsum(t.spell_b.sizes[all_b])
+def _joined(values: pa.Array, bounds: np.ndarray, mark: str) -> pa.Array:
+    """Values between each two bounds, joined by ``mark``."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values), mark)
+
+
+def _numbers(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids).cast(pa.string())
+
+
+def _aligned_windows(t: Tokenizers, a: np.ndarray, bounds_a: np.ndarray, b: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of windows one after another: groups as text, link keys and the bounds of both."""
+    ends_a, ends_b = np.cumsum(t.spell_a.sizes[a]), np.cumsum(t.spell_b.sizes[b])
     shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
     last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
-    links = np.stack([all_a[last_a], all_b[last_b]], 1)
-    cut = np.searchsorted(shared, ends_a[np.cumsum([len(x) for x in a]) - 1]) + 1  # groups up to the end of each window
-    names_a, names_b = list(map(str, all_a.tolist())), list(map(str, all_b.tolist()))
-    groups, at_a, at_b = [], 0, 0
-    for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
-        groups.append(f"{','.join(names_a[at_a:x])}|{','.join(names_b[at_b:y])}")
-        at_a, at_b = x, y
-    out, at = [], 0
-    for end in cut.tolist():
-        out.append((";".join(groups[at:end]), links[at:end]))
-        at = end
-    return out
-
-
-def _looked_up(t: Tokenizers, windows: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[str, np.ndarray]]:
-    keys = [(x.astype(np.int32).tobytes(), y.astype(np.int32).tobytes()) for x, y in windows]
-    new = [i for i, k in enumerate(keys) if k not in t.kept]
-    made = dict(zip(new, _aligned_windows(t, [windows[i][0] for i in new], [windows[i][1] for i in new]))) if new else {}
-    out = [made[i] if i in made else t.kept[k] for i, k in enumerate(keys)]
-    for i in new[:max(0, KEPT_WINDOWS - len(t.kept))]:
-        text, links = made[i]
-        t.kept[keys[i]] = text, links.copy()
-    return out
+    bounds = np.concatenate([[0], np.searchsorted(shared, ends_a[bounds_a[1:] - 1]) + 1])  # groups of each window
+    sides = [_joined(_numbers(ids), np.append(0, last + 1), ",") for ids, last in ((a, last_a), (b, last_b))]
+    return _joined(pc.binary_join_element_wise(*sides, "|"), bounds, ";"), a[last_a] << 32 | b[last_b], bounds
+
+
+def _looked_up(t: Tokenizers, a: np.ndarray, first_a: np.ndarray, size_a: np.ndarray, b: np.ndarray, first_b: np.ndarray, size_b: np.ndarray):
+    """Groups as text, link keys and their bounds of the windows given by their first
+    ids and sizes; those not kept are aligned together, and kept while there is room."""
+    bounds = np.concatenate([[0], np.cumsum(size_a + size_b + 1)])
+    ids = np.full(bounds[-1], -1, np.int32)  # -1 parts the ids of A and B
+    at = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
+    of_a = at < np.repeat(size_a, np.diff(bounds))
+    of_b = at > np.repeat(size_a, np.diff(bounds))
+    ids[of_a], ids[of_b] = tokens.gathered(a, first_a, size_a), tokens.gathered(b, first_b, size_b)
+    raw, edges = ids.tobytes(), (bounds * 4).tolist()
+    keys = [raw[x:y] for x, y in zip(edges, edges[1:])]
+    number = np.array([t.kept.get(k, -1) for k in keys], np.int64)
+    new = np.flatnonzero(number < 0)
+    known = len(t.texts)
+    if len(new):
+        number[new] = known + np.arange(len(new))
+        text, links, ends = _aligned_windows(t, tokens.gathered(a, first_a[new], size_a[new]), np.concatenate([[0], np.cumsum(size_a[new])]),
+                                             tokens.gathered(b, first_b[new], size_b[new]))
+        texts = pa.concat_arrays([t.texts, text])
+        links, ends = np.append(t.links, links), np.append(t.bounds, t.bounds[-1] + ends[1:])
+        n = known + min(len(new), max(0, KEPT_WINDOWS - known))
+        t.kept.update((keys[i], known + j) for j, i in enumerate(new[:n - known].tolist()))
+        t.texts, t.links, t.bounds = pa.concat_arrays([texts.slice(0, n)]), links[:ends[n]].copy(), ends[:n + 1].copy()
+    else:
+        texts, links, ends = t.texts, t.links, t.bounds
+    return texts, number, links, ends
 
 
 def align_batch(t: Tokenizers, batch: pa.RecordBatch) -> pa.Table:
@@ -178,7 +208,7 @@ def align_batch(t: Tokenizers, batch: pa.RecordBatch) -> pa.Table:
     texts = batch.column("text")
     n = len(texts)
     counts = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
-    groups, links = [""] * n, {name: np.zeros(0, np.int32) for name in ("link_a", "link_b", "times")}
+    written, links = None, {name: np.zeros(0, np.int32) for name in ("link_a", "link_b", "times")}
     sizes = np.zeros(n, np.int64)
     rows = np.flatnonzero(np.asarray(pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)))
     if len(rows):
@@ -194,26 +224,28 @@ def align_batch(t: Tokenizers, batch: pa.RecordBatch) -> pa.Table:
         first_a, first_b = np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
         window_bounds = np.searchsorted(first_a, a_bounds)  # every text begins with an anchor
         one, kind = _distinct(a, first_a, b, first_b)
-        last_a, last_b = np.append(first_a[1:], len(a)), np.append(first_b[1:], len(b))
-        found = _looked_up(t, [(a[first_a[i]:last_a[i]], b[first_b[i]:last_b[i]]) for i in one.tolist()])
-        written = [f[0] for f in found]
-        held = np.array([len(f[1]) for f in found], np.int64)  # groups, each with a link
-        all_links = np.concatenate([f[1] for f in found])
-        keys = all_links[:, 0] << 32 | all_links[:, 1]
-        distinct, number = np.unique(keys, return_inverse=True)
-        of_window = tokens.gathered(number, (np.cumsum(held) - held)[kind], held[kind])
-        link_bounds = np.concatenate([[0], np.cumsum(held[kind])])[window_bounds]
+        size_a, size_b = np.diff(np.append(first_a, len(a))), np.diff(np.append(first_b, len(b)))
+        texts, number, all_links, ends = _looked_up(t, a, first_a[one], size_a[one], b, first_b[one], size_b[one])
+        number = number[kind]
+        held = np.diff(ends)[number]  # groups, each with a link
+        distinct, of_link = np.unique(all_links, return_inverse=True)
+        of_window = tokens.gathered(of_link, ends[number], held)
+        link_bounds = np.concatenate([[0], np.cumsum(held)])[window_bounds]
         counts["n_links"][rows] = counts["n_groups"][rows] = np.diff(link_bounds)
-        for row, x, y in zip(rows.tolist(), window_bounds[:-1].tolist(), window_bounds[1:].tolist()):
-            groups[row] = ";".join([written[k] for k in kind[x:y].tolist()])
+        written = _joined(texts.take(pa.array(number)), window_bounds, ";")
         doc = np.repeat(np.arange(len(rows)), np.diff(link_bounds))
         pairs, times = np.unique(doc * len(distinct) + of_window, return_counts=True)
         sizes[rows] = np.bincount(pairs // len(distinct), minlength=len(rows))
         pairs = distinct[pairs % len(distinct)]
         links = {"link_a": (pairs >> 32).astype(np.int32), "link_b": (pairs & 0xFFFFFFFF).astype(np.int32), "times": times.astype(np.int32)}
+    groups = pa.array([""], pa.string()).take(pa.array(np.zeros(n, np.int64)))
+    if written is not None:
+        is_whole = np.zeros(n, bool)
+        is_whole[rows] = True
+        groups = pc.replace_with_mask(groups, pa.array(is_whole), written)
     at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
     return pa.table({
-        "doc_id": batch.column("doc_id"), **{k: pa.array(v) for k, v in counts.items()}, "groups": pa.array(groups, pa.string()),
+        "doc_id": batch.column("doc_id"), **{k: pa.array(v) for k, v in counts.items()}, "groups": groups,
         **{k: pa.ListArray.from_arrays(at, pa.array(v)) for k, v in links.items()}})
 
 

@@ -136,7 +136,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op11_secret_layers(spark: SparkSession, folder: str) -> DataFrame:
     found = layers.scan(_table(spark, folder, "documents"))
     base = layers.base_of("spans")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in layers.KINDS]
+    counts = [layers.count_of(base, k).alias(f"n_{k}") for k in layers.KINDS]
     return found.select("doc_id", *counts, F.sha2(layers.listed(base), 256).alias("base_sha256"), layers.listed("spans").alias("spans"),
                         "n_layers", "n_unopened")
 

@@ -319,3 +319,7 @@ def listed(spans):
 
 def base_of(spans):
     return F.filter(spans, lambda s: s["depth"] == 0)
+
+
+def count_of(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,25 +24,33 @@ AT_ONCE = 8192
 
 
 class Encoder:
+    kept_pieces: int | None = None  #: in place of KEPT_PIECES
+
     def __init__(self, name: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        self._start()
         if plain:  # strings of special tokens are ordinary text
             self.tokenizer.encode_special_tokens = True
+
+    def _start(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # ascending
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each piece, in ids
         self.ids = np.zeros(0, np.uint32)
 
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def _add(self, pieces: list[str], hashes: np.ndarray) -> None:
         """Encode pieces (with ascending hashes, none of them kept yet) and keep them."""
         parts, sizes = [self.ids], []
         for a in range(0, len(pieces), AT_ONCE):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[a:a + AT_ONCE], add_special_tokens=False)]
+            found = self.ids_of(pieces[a:a + AT_ONCE])
             sizes += map(len, found)
-            parts.append(np.fromiter((i for x in found for i in x), np.uint32))
+            parts.append(np.fromiter(chain.from_iterable(found), np.uint32))
         sizes = np.array(sizes, np.int64)
         at = np.searchsorted(self.hashes, hashes)
         self.starts = np.insert(self.starts, at, len(self.ids) + np.cumsum(sizes) - sizes)
@@ -73,7 +82,7 @@ class Encoder:
         sizes = self.sizes[at]
         bounds = np.concatenate([[0], np.cumsum(sizes)])[pieces.bounds]
         ids = gathered(self.ids, self.starts[at], sizes)
-        if len(self.hashes) > KEPT_PIECES:  # full: frequent pieces were met before
+        if len(self.hashes) > (self.kept_pieces or KEPT_PIECES):  # full: frequent pieces were met before
             self.hashes, self.starts, self.sizes, self.ids = kept
         return ids, bounds
 

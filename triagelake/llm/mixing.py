@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from triagelake.llm.spread import small
+from triagelake.llm.spread import folded, small, unfolded
 
 SEED = "mix-1"
 #: Target weight of a source as a power of its share; 1 leaves the mixture as it is, 0 evens it out.
@@ -75,7 +75,9 @@ def replicate(docs: DataFrame, weights: DataFrame | None = None, *, epochs: floa
         given = weights.groupBy("source").agg(F.max("weight").cast("double").alias("weight"))
         sizes = sizes.drop("weight").alias("s").join(given.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source"))).select("s.source", "n", "weight")
     table = small(poisson_table(repetition_rates(small(sizes, "sizes"), epochs)), "rates").withColumnsRenamed({"source": "_source", "first": "_first"})
-    docs = docs.drop("rate", "n_copies", "copy", "shuffle_key")
+    made = ["rate", "n_copies", "copy", "shuffle_key"]
+    names = [c for c in docs.columns if c not in made]
+    docs = folded(docs.drop(*made), "doc_id", "source")
     drawn = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
     counted = (
         docs.join(table, docs["source"].eqNullSafe(table["_source"]))
@@ -85,5 +87,5 @@ def replicate(docs: DataFrame, weights: DataFrame | None = None, *, epochs: floa
     )
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)))
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/"), F.col("copy").cast("string"), F.lit(":" + seed)))
-    out = copies.withColumn("shuffle_key", key).drop("_source", "_first", "cdf", "_u")
-    return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    out = copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return out.select(*unfolded(names, "doc_id", "source"), *made)

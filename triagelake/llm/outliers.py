@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from triagelake.llm.spread import slices, small
+from triagelake.llm.spread import folded, slices, small, unfolded
 from triagelake.llm.words import buffer_of, words_of
 from triagelake.session import materialise, ship_package
 
@@ -228,9 +228,11 @@ def judge(vectors: DataFrame, models: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, stored: bool = True) -> DataFrame:
     """``docs`` with counts, base_failed, distance and kept. ``stored`` writes the counts
     and leaves the text out; else it is read twice and carried along unshuffled."""
-    docs = docs.drop("base_failed", "distance", "kept")
-    slim = with_vector(with_counts(docs.select("text", *(c for c in docs.columns if c != "text") if stored else ("lang", "source")))).drop("text")
+    made = [*COUNTS, "base_failed", "distance", "kept"]
+    names = [c for c in docs.columns if c not in made]
+    docs, read = folded(docs.drop(*made), "text", "lang", "source"), ["lang", "source"]
+    slim = with_vector(with_counts(docs if stored else docs.select("text", *read))).drop("text")
     if stored:
-        slim = materialise(slim, "statistics")
-    models = fit(slim)
-    return judge(slim if stored else with_vector(with_counts(docs)), models)
+        slim, names = materialise(slim, "statistics"), [c for c in names if c != "text"]
+    found = judge(slim if stored else with_vector(with_counts(docs)), fit(slim))
+    return found.select(*unfolded(names, "text", *read), *made)

@@ -197,7 +197,8 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     ship_package(docs.sparkSession)
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).drop("_to", "n_words", "n_removed")
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
+    docs = spread.folded(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).drop("n_words", "n_removed"), "doc_id", "text")
     size = spread.total_bytes(docs, "text")
     n_chunks, buckets = 1 + size // spread.CHUNK_BYTES, 1 + size // (6 * spread.BUCKET_HASHES)
     chunks = spread.in_chunks(docs, docs.columns, n_chunks)
@@ -209,7 +210,8 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     def finish(table: pa.Table, more: pa.Table) -> pa.Table:
         return _cut(table, more, window, buckets, target) if table.num_rows else target.empty_table()
 
-    return chunks.groupBy("_to").cogroup(hits.unionByName(owners).groupBy("_to")).applyInArrow(finish, schema)
+    cut = chunks.groupBy("_to").cogroup(hits.unionByName(owners).groupBy("_to")).applyInArrow(finish, schema)
+    return cut.select(*spread.unfolded(names, "doc_id", "text"), "n_words", "n_removed")
 
 
 def kept_digest(text: str = "text"):

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.session import materialise
@@ -23,6 +23,18 @@ def small(df: DataFrame, name: str, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def folded(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns ``used`` and all others as one struct, _row, so that no name of theirs
+    meets one that an operator adds on its way."""
+    rest = [docs[f"`{c}`"] for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*rest or [F.lit(0).alias("none")]).alias("_row"))
+
+
+def unfolded(names: list[str], *used: str) -> list[Column]:
+    """The columns ``names`` of a folded table, as they were."""
+    return [F.col(c) if c in used else F.col("_row").getField(c).alias(c) for c in names]
+
+
 def total_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
 

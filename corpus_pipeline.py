@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triagelake.llm import mixing, outliers, packing, repeats, simhash
+from triagelake.llm.spread import folded, unfolded
 from triagelake.session import materialise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or lie too far out go."""
-    return outliers.judged(docs, stored=False).where("kept").select(*docs.columns)
+    used = "text", "lang", "source"
+    return outliers.judged(folded(docs, *used), stored=False).where("kept").select(*unfolded(docs.columns, *used))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +34,17 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats are cut out of the texts; documents of which nothing is left go."""
-    cut = repeats.cut_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    cut = repeats.cut_repeats(folded(docs, "doc_id", "text")).where("n_removed = 0 OR n_removed < n_words")
+    n_chars = [c for c in docs.columns if c == "n_chars"]
+    for c in n_chars:
+        old, kind = F.col("_row").getField(c), docs.schema[c].dataType
+        cut = cut.withColumn(c, F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(old))
+    return cut.select(*unfolded(docs.columns, "doc_id", "text", *n_chars))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stand as often as the mixture has them, in shuffled order."""
-    return mixing.replicate(docs).select(*docs.columns)
+    return mixing.replicate(folded(docs, "doc_id", "source")).select(*unfolded(docs.columns, "doc_id", "source"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

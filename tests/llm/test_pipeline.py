@@ -8,7 +8,9 @@ from collections import Counter
 import corpus_pipeline
 from test_texts import brute_components, brute_counts, brute_fingerprint, brute_repeats
 
-from triagelake.llm import catalog
+from pyspark.sql import functions as F
+
+from triagelake.llm import catalog, mixing, outliers, repeats
 from triagelake.session import materialise
 
 
@@ -62,9 +64,31 @@ def test_every_component_keeps_one_row(spark, docs_of):
         [(1, texts[0]), (None, texts[1]), (None, texts[2] + " with more"), (2, texts[3]), (2, texts[4]), (0, None)])
 
 
+#: Names that operators and stages use on their way.
+INNER = (
+    "level x_length x_symbols x_lines x_repeats n_words word_chars n_symbols n_dup_lines n_repeat_words kept distance base_failed _lang _source "
+    "_m _m0 _m1 _m2 cdf first _first _u _row none _to _from kind a b c n_removed copy n_copies rate shuffle_key fp fingerprint root node component_id "
+    "_id _no_id _text text_hash piece start length sequence_id offset ids_crc32 weight n").split()
+
+
+def test_columns_named_like_inner_ones_pass_through(spark, docs_of):
+    words = [" ".join(f"{name}{i}" for i in range(40)) for name in ("one", "two", "three")]
+    rows = [(i, f"{words[i % 3]} own{i}x {' '.join(f'more{i}n{k}' for k in range(30))}", "en" if i % 2 else None, None if i % 5 == 0 else "s") for i in range(30)]
+    docs = docs_of(rows)
+    docs = docs.select("*", *[F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")).alias(name) for name in INNER])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"{c} {r.doc_id}" for r in got for c in INNER), name
+    assert corpus_pipeline.pack_sequences(spark, docs, "").count() >= 30
+    for made in (mixing.replicate(docs), repeats.cut_repeats(docs), outliers.judged(docs), outliers.judged(docs, False)):
+        assert all(r[c] == f"{c} {r.doc_id}" for r in made.collect() for c in ("cdf", "level", "_to", "_u", "_first", "_row"))
+
+
 def test_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries())
-    assert numbers == list(range(1, 11)) and set(catalog.oracle_sql()) <= set(catalog.queries())
+    assert numbers == list(range(1, 14)) and set(catalog.oracle_sql()) <= set(catalog.queries())
 
 
 def test_native_formatting_has_no_python(spark):

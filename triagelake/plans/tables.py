@@ -12,10 +12,10 @@ from triagelake.functions import text as X
 from triagelake.operators import dashboards as D
 from triagelake.operators import enrichment as N
 from triagelake.operators import features, marts, quality, staging
-from triagelake.plans import jobs, registry
+from triagelake.plans import incremental, jobs, registry
 from triagelake.plans.oracle_base import NL, case, clean, pct, q, rnd, strings, values
-from triagelake.plans.registry import DAY, STAMP, day, long, query, rounded, stamp
-from triagelake.session import scratch_path
+from triagelake.plans.registry import DAY, STAMP, day, files_of, long, query, rounded, stamp
+from triagelake.session import materialise, scratch_path
 from triagelake.sources import bindings as B
 from triagelake.sources import raw_files, tables
 from triagelake.sources.bindings import Tracker
@@ -89,6 +89,17 @@ _OPS_STATEMENT = f"""
 SELECT {DAY.format('month')} AS month, {', '.join(_OPS)}, {rnd('avg_resolution_days', 6)} AS avg_resolution_days,
   {', '.join(_OPS_SQL)} FROM mart_ops
 """
+
+
+def _snapshot(t: Tracker) -> DataFrame:
+    """The first version of a table that was overwritten since."""
+    root, layer, name = scratch(t, "layers"), "marts_analytics", "mart_analytics_ops"
+    first = tables.write_table(t.ops_mart(), root, layer, name)
+    tables.write_table(first.where(F.col("total_issues") > 1), root, layer, name)
+    return tables.read_table(t.spark, root, layer, name, 1)
+
+
+query("s5_snapshot_read", lambda t: _ops_out(_snapshot(t)), _OPS_STATEMENT)
 query("s5_layer_table", lambda t: _ops_out(tables.write_table(
     t.ops_mart(), scratch(t, "layers"), "marts_analytics", "mart_analytics_ops")), _OPS_STATEMENT)
 
@@ -362,6 +373,31 @@ SELECT assignee, issuetype AS top_issuetype FROM type_counts QUALIFY row_number(
 """)
 query("a10_ops_monthly", lambda t: _ops_out(t.ops_mart()), _OPS_STATEMENT)
 query("a11_workload", lambda t: t.workload_mart(), "SELECT * FROM mart_workload")
+
+
+def _in_three_updates(t: Tracker) -> str:
+    """A folder brought up to date with a third of all raw rows at a time; all that
+    arrive later change tickets that are there."""
+    at = (t.spark.sparkContext.applicationId, t.folder, files_of(t))
+    if at not in _UPDATED:
+        root = scratch(t, "incremental")
+        raw = {"issues": t.raw_issues(), "comments": t.raw_comments(), "changelog": t.raw_changelog(), "issuelinks": t.raw_links()}
+        raw = {name: materialise(df.withColumn("_turn", F.pmod(F.xxhash64(*df.columns), F.lit(3))), f"turns-{name}") for name, df in raw.items()}
+        for turn in range(3):
+            arrived = {name: df.where(F.col("_turn") == turn).drop("_turn") for name, df in raw.items()}
+            incremental.update(t.spark, root, arrived, f"turn-{turn}", B.PROJECT, B.SPLIT_BOUNDS, buckets=16)
+        _UPDATED[at] = root
+    return _UPDATED[at]
+
+
+_UPDATED: dict[tuple, str] = {}
+query("j3_incremental_mart", lambda t: incremental.read(t.spark, _in_three_updates(t), "mart_ml").select(
+    *_MART_PLAIN, day("created_at"), *[F.md5(c).alias(c) for c in _MART_TEXTS], *long(*_MART_LONGS)), f"""
+SELECT {', '.join(_MART_PLAIN)}, {DAY.format('created_at')} AS created_at, {', '.join(f'md5({c}) AS {c}' for c in _MART_TEXTS)},
+  {', '.join(f'{c}::BIGINT AS {c}' for c in _MART_LONGS)} FROM mart_ml
+""")
+query("a10_incremental_ops", lambda t: _ops_out(incremental.ops(t.spark, _in_three_updates(t))), _OPS_STATEMENT)
+query("a11_incremental_workload", lambda t: incremental.workload(t.spark, _in_three_updates(t)), "SELECT * FROM mart_workload")
 query("a12_links_mart", lambda t: t.links_mart(), "SELECT * FROM mart_links")
 query("a13_kpis", lambda t: D.kpis(t.ops_mart()), f"""
 SELECT sum(total_issues)::BIGINT AS total_issues, sum(total_resolved)::BIGINT AS total_resolved,

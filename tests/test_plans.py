@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from triagelake.operators import retrieval
 from triagelake.plans import catalog, registry
+from triagelake.session import materialise
 from triagelake.sources.bindings import Tracker
 from triagelake.streaming import scoring
 
@@ -112,3 +113,53 @@ def test_stream_equals_batch_and_repeats_count_once(spark, tmp_path):
     # a second run finds nothing new
     scoring.score_new_tickets(spark, str(tmp_path / "in"), queries.schema, corpus, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "scores")).count() == stored.count()
+
+
+def _above(plan: str, leaf: str) -> list[list[str]]:
+    """For each line of a plan with ``leaf``: the operators above it, nearest first."""
+    lines = [(len(line) - len(line.lstrip(" :+-|")), line.strip(" :+-|")) for line in plan.split("\n")]
+    out = []
+    for i, (depth, text) in enumerate(lines):
+        if leaf in text:
+            above = []
+            for d, name in reversed(lines[:i]):
+                if d < depth:
+                    above.append(name)
+                    depth = d
+            out.append(above)
+    return out
+
+
+def test_a_micro_batch_does_not_move_the_index(spark):
+    """The index is read where it lies: nothing between its scan and the scoring, or the
+    join with the candidates, is an exchange; the result is that of the grid."""
+    queries, corpus = registry.sides(Tracker(spark, SMALL))
+    index, queries = materialise(corpus, "index-of-a-test"), materialise(queries, "tickets-of-a-test")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    scored = scoring.score_batch(queries, index)
+    paths = _above(plan(scored), "index-of-a-test")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert paths
+    for above in paths:
+        stop = next(i for i, name in enumerate(above) if "MapInArrow" in name or "BroadcastHashJoin" in name)
+        assert not any("Exchange" in name for name in above[:stop]), above[:stop + 1]
+    plain = retrieval.rerank(retrieval.rrf_top(queries, index), queries, index, scaled=False)
+    due = scoring.voting.predictions(scoring.voting.vote(scoring.voting.by_target(retrieval.final_neighbours(plain))), queries)
+    assert sorted(map(tuple, scored.collect()), key=str) == sorted(map(tuple, due.collect()), key=str)
+
+
+def test_equal_scores_are_ordered_by_key_in_any_order_of_batches():
+    import numpy as np
+
+    from triagelake.operators.grid import Heads
+
+    rng = np.random.default_rng(3)
+    scores = rng.integers(0, 4, (5, 60)) / 4
+    keys = np.array([f"k{i:02d}" for i in range(60)], object)
+    due = [sorted(zip(-scores[q], keys))[:7] for q in range(5)]
+    for seed in range(4):
+        heads, order = Heads(5, 7), np.random.default_rng(seed).permutation(60)
+        for some in np.array_split(order, 6):
+            some = np.sort(some)
+            heads.offer(slice(0, 5), scores[:, some], keys[some])
+        assert [[(-s, k) for r, s, k in zip(heads.row, heads.score, heads.key) if r == q] for q in range(5)] == due

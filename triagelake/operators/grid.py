@@ -35,7 +35,7 @@ SCORE_DECIMALS = 9
 
 
 class Cell(Protocol):
-    """One query block against a run; batches of the run come in the order of their keys."""
+    """One query block against a run; rows of a batch come in the order of their keys."""
 
     def add(self, batch: pa.Table) -> None: ...
 
@@ -57,10 +57,14 @@ def _sizes(queries: DataFrame, corpus: DataFrame, query_rows: int, runs: int | N
 def on_grid(
     queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
     make_cell: Callable[[pa.Table], Cell], schema: str,
-    query_rows: int = QUERY_BLOCK_ROWS, runs: int | None = None, sized_by: DataFrame | None = None,
+    query_rows: int = QUERY_BLOCK_ROWS, runs: int | None = None, sized_by: DataFrame | None = None, stored: bool = False,
 ) -> DataFrame:
-    """Run ``make_cell(query block)`` on every run of the corpus. ``runs`` sets their number."""
+    """Run ``make_cell(query block)`` on every run of the corpus. ``runs`` sets their number.
+    With ``stored`` the corpus is a table whose files are the runs: it stays where it
+    is, and the queries, one block that the caller has counted, are sent to its tasks."""
     ship_package(queries.sparkSession)
+    if stored:
+        return _on_stored(queries, corpus, key, make_cell, schema, query_rows)
     n_query, n_runs = _sizes(sized_by if sized_by is not None else queries.select(query_key), corpus.select(key), query_rows, runs)
 
     def placed(df: DataFrame, side: int, own: str, by: str, other: str) -> DataFrame:
@@ -100,29 +104,49 @@ def on_grid(
     return rows.repartition("_q", "_r").sortWithinPartitions("_q", "_r", "_side", "_by").mapInArrow(run, schema)
 
 
+def _on_stored(
+    queries: DataFrame, corpus: DataFrame, key: str, make_cell: Callable[[pa.Table], Cell], schema: str, query_rows: int
+) -> DataFrame:
+    block = queries.limit(query_rows + 1).toArrow()
+    if len(block) > query_rows:
+        raise ValueError(f"more than {query_rows} queries: not a block")
+    sent = queries.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = make_cell(sent.value.combine_chunks()) if len(sent.value) else None
+        for batch in batches:
+            if cell is not None and batch.num_rows:
+                cell.add(sorted_by(pa.Table.from_batches([batch]), key))
+        if cell is not None:
+            yield from cell.result().to_batches()
+
+    # as many runs as cores, put together without moving rows: what leaves them is bounded
+    return corpus.coalesce(corpus.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
+
+
 def _fields(batch: pa.RecordBatch, name: str) -> pa.Table:
     column = batch.column(batch.schema.get_field_index(name))
     return pa.Table.from_arrays(column.flatten(), names=[f.name for f in column.type])
 
 
 class Heads:
-    """The k best rows of every query over the batches seen: score, key and what comes along."""
+    """The k best rows of every query over the batches seen: score, key and what comes along.
+    Equal scores are ordered by key, in whatever order batches come."""
 
     def __init__(self, n: int, k: int):
         self.n, self.k, self.row, self.score, self.key, self.more = n, k, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object), None
 
     def add(self, rows: np.ndarray, score: np.ndarray, key: np.ndarray, *more: np.ndarray) -> None:
-        """Rows of a batch whose keys come after all keys before; equal scores keep the earlier one."""
         kept = self.more if self.more is not None else [m[:0] for m in more]
-        row, score = np.concatenate([self.row, rows]), np.concatenate([self.score, score])
-        order = np.lexsort((np.arange(len(row)), -score, row))
+        row, score, keys = np.concatenate([self.row, rows]), np.concatenate([self.score, score]), np.concatenate([self.key, key])
+        order = _ties_by_key(np.lexsort((-score, row)), row, score, keys)
         start = np.searchsorted(row[order], np.arange(self.n))
         order = order[np.arange(len(order)) - start[row[order]] < self.k]
-        self.row, self.score, self.key = row[order], score[order], np.concatenate([self.key, key])[order]
+        self.row, self.score, self.key = row[order], score[order], keys[order]
         self.more = [np.concatenate([a, b])[order] for a, b in zip(kept, more)]
 
     def bar(self, part: slice) -> np.ndarray:
-        """What a row of each query must exceed to get in."""
+        """What a row of each query must reach to get in."""
         start = np.searchsorted(self.row, np.arange(part.start, part.stop + 1))
         full = np.diff(start) >= self.k
         out = np.full(part.stop - part.start, -np.inf)
@@ -131,11 +155,23 @@ class Heads:
 
     def offer(self, part: slice, scores: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> None:
         rows, cols = best_columns(scores, self.k)
-        inside = scores[rows, cols] > self.bar(part)[rows]
+        inside = scores[rows, cols] >= self.bar(part)[rows]
         rows, cols = rows[inside], cols[inside]
         self.add(rows + part.start, scores[rows, cols], keys[cols], *(m[rows, cols] for m in more))
 
 
+def _ties_by_key(order: np.ndarray, row: np.ndarray, score: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The order with runs of equal row and score sorted by key; only those are compared."""
+    same = (np.diff(row[order]) == 0) & (np.diff(score[order]) == 0)
+    if not same.any():
+        return order
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    run = np.cumsum(~np.append(False, same))[tied]
+    rank = np.unique(keys[order[tied]].astype(str), return_inverse=True)[1]
+    order[tied] = order[tied][np.lexsort((rank, run))]
+    return order
+
+
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
     values = pc.list_flatten(column.combine_chunks()).to_numpy(zero_copy_only=False)
     return values.astype(np.float64, copy=False).reshape(len(column), -1)

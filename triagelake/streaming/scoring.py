@@ -10,16 +10,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from triagelake import constants as C
-from triagelake.operators import enrichment, retrieval, voting
+from triagelake.operators import enrichment, grid, retrieval, voting
 from triagelake.session import job_scratch, materialise
 
 
 def score_batch(tickets: DataFrame, index: DataFrame, scaler: Column | None = None) -> DataFrame:
     """Predictions of a batch; the same operators as the nightly job. Without a scaler
-    the change features are compared raw."""
-    candidates = retrieval.rrf_top(tickets, index)
-    neighbours = retrieval.final_neighbours(retrieval.rerank(candidates, tickets, index, scaled=False, scaler=scaler))
-    return voting.predictions(voting.vote(voting.by_target(neighbours)), tickets)
+    the change features are compared raw. ``index`` is a stored table: tickets that fit
+    in one block, which is counted, are sent to it and it is not moved; more tickets
+    meet it on the grid."""
+    block = tickets.limit(grid.QUERY_BLOCK_ROWS + 1).count() <= grid.QUERY_BLOCK_ROWS
+    candidates = retrieval.rrf_top(tickets, index, stored=block)
+    ranked = retrieval.rerank(candidates, tickets, index, scaled=False, scaler=scaler, one_block=block)
+    return voting.predictions(voting.vote(voting.by_target(retrieval.final_neighbours(ranked))), tickets)
 
 
 def score_new_tickets(

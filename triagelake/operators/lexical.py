@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,87 +16,221 @@ from triagelake import constants as C
 from triagelake.functions import scalars as S
 from triagelake.functions import text as X
 from triagelake.operators import grid, retrieval
-from triagelake.session import materialise
+from triagelake.session import materialise, ship_package
 
 
 def tokenised(df: DataFrame, text: str) -> DataFrame:
     return df.select("key", X.tokens(F.col(text)).alias("words"))
 
 
-def corpus_stats(docs: DataFrame) -> Column:
-    """Number of documents and mean length as one struct constant."""
-    return docs.agg(
-        F.struct(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean_length"))
-    ).scalar()
+@dataclass
+class Lexicon:
+    """A corpus tokenised once: what every reader of its words needs, stored."""
 
+    docs: DataFrame  #: key, length, words (term, tf)
+    idf: DataFrame  #: term, idf
 
-def inverse_frequencies(docs: DataFrame) -> DataFrame:
-    """term, idf. Counting is combined in the map tasks, so a word found in every
-    document costs one row per task. A negative idf becomes a share of the mean. The
-    counts are stored: one row per word, read twice, instead of two corpus passes."""
-    n = corpus_stats(docs)["n"]
-    df = materialise(
-        docs.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df")),
-        "document-frequency",
-    )
-    raw = df.select("term", (F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
-    floor = raw.agg(C.BM25_EPSILON * F.avg("raw_idf")).scalar()
-    return raw.select("term", F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")).alias("idf"))
 
+_COUNTED = "key string, length int, words array<struct<term:string,tf:int>>"
 
-def query_terms(queries: DataFrame, docs: DataFrame) -> DataFrame:
-    """query_key, term, weight = idf times the number of times the query says it.
-    A term occurs once per query here, and AQE splits what is still skewed."""
-    counts = (
-        queries.select(F.col("key").alias("query_key"), F.explode("words").alias("term"))
-        .groupBy("query_key", "term")
-        .agg(F.count("*").alias("_n"))
-    )
-    return counts.join(inverse_frequencies(docs), "term").select(
-        "query_key", "term", (F.col("_n") * F.col("idf")).alias("weight")
-    )
 
+def counted(docs: DataFrame) -> DataFrame:
+    """key, number of words, and every different word with how often it occurs. Texts
+    stay where they are; a batch is counted at once."""
+    ship_package(docs.sparkSession)
+    kind = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int32())]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("words")
+            length = pc.fill_null(pc.list_value_length(lists), 0)
+            words = pc.list_flatten(lists).dictionary_encode()
+            doc = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = max(1, len(words.dictionary))
+            pairs, times = np.unique(doc * size + words.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            bounds = np.searchsorted(pairs, np.arange(batch.num_rows + 1) * size).astype(np.int32)
+            inner = pa.StructArray.from_arrays([words.dictionary.take(pa.array(pairs % size)), pa.array(times.astype(np.int32))], fields=list(kind.value_type))
+            yield pa.record_batch([batch.column("key"), length, pa.ListArray.from_arrays(pa.array(bounds), inner)], ["key", "length", "words"])
 
-def _saturation(docs: DataFrame) -> DataFrame:
-    """Adds the length part of the term-frequency denominator."""
-    mean = corpus_stats(docs)["mean_length"]
-    return docs.withColumn("norm", C.BM25_K1 * (1 - C.BM25_B + C.BM25_B * F.size("words") / mean))
+    return docs.select("key", "words").mapInArrow(work, _COUNTED)
 
 
-def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, **block_rows: int) -> DataFrame:
+def lexicon(docs: DataFrame) -> Lexicon:
+    """``docs`` (key, words) counted and stored (a job), with the inverse frequencies. A
+    negative idf becomes a share of the mean."""
+    known = materialise(counted(docs), "term-counts")
+    n = known.agg(F.count("*")).scalar()
+    df = materialise(known.select(F.inline("words")).groupBy("term").agg(F.count("*").alias("df")), "document-frequency")
+    raw = df.select("term", (F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
+    floor = raw.agg(C.BM25_EPSILON * F.avg("raw_idf")).scalar()
+    return Lexicon(known, raw.select("term", F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")).alias("idf")))
+
+
+def query_terms(queries: DataFrame, corpus: Lexicon) -> DataFrame:
+    """query_key, term, weight = idf times the number of times the query says it.
+    A term occurs once per query here, and AQE splits what is still skewed."""
+    said = counted(queries).select(F.col("key").alias("query_key"), F.inline("words"))
+    return said.join(corpus.idf, "term").select("query_key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
+def _norm(corpus: Lexicon) -> Column:
+    """The length part of the term-frequency denominator."""
+    mean = corpus.docs.agg(F.avg("length")).scalar()
+    return (C.BM25_K1 * (1 - C.BM25_B + C.BM25_B * F.col("length") / mean)).alias("norm")
+
+
+#: A score must be this far below a bar to be left out unrounded.
+_MARGIN = 1e-8
+#: Contributions that are summed up at once.
+_AT_ONCE = 1 << 22
+
+
+class Scorer:
+    """BM25 of a block of queries against batches of documents; terms are numbers.
+
+    The largest value of a term in a batch bounds what it can add there. Of a query whose
+    list is full, the terms whose bounds together stay under the bar can lift no
+    document into the list by themselves: only documents with one of the other terms
+    are scored, those terms first, and the rest only where the sum can still reach the
+    bar. Nothing that could get in is left out, so the lists are exact."""
+
+    def __init__(self, terms: pa.ChunkedArray, weights: pa.ChunkedArray, k: int):
+        terms, weights = terms.combine_chunks(), weights.combine_chunks()
+        self.n = len(terms)
+        ids = pc.list_flatten(terms).to_numpy(zero_copy_only=False)
+        self.query = pc.list_parent_indices(terms).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.weight = pc.list_flatten(weights).to_numpy(zero_copy_only=False)
+        self.vocabulary, self.term = np.unique(ids, return_inverse=True)
+        self.heads = grid.Heads(self.n, k)
+        self.scored = 0  #: postings that were added to a score
+
+    def add(self, words: pa.ChunkedArray, norm: np.ndarray, keys: np.ndarray) -> None:
+        lists, size = words.combine_chunks(), len(self.vocabulary)
+        flat = pc.list_flatten(lists)
+        id_, tf = (pc.struct_field(flat, f).to_numpy(zero_copy_only=False) for f in ("id", "tf"))
+        doc = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.searchsorted(self.vocabulary, id_)
+        known = self.vocabulary[np.minimum(at, size - 1)] == id_ if size else np.zeros(len(id_), bool)
+        term, doc, tf = at[known], doc[known], tf[known]
+        order = np.lexsort((doc, term))
+        term, doc, tf = term[order], doc[order], tf[order]
+        value = tf * (C.BM25_K1 + 1) / (tf + norm[doc])
+        start = np.searchsorted(term, np.arange(size + 1))
+        most = np.zeros(size)
+        held = np.flatnonzero(np.diff(start))
+        most[held] = np.maximum.reduceat(value, start[held]) if len(held) else 0.0
+        bar = self.heads.bar(slice(0, self.n))
+        bound = np.maximum(self.weight, 0.0) * most[self.term]
+        by_bound = np.lexsort((bound, self.query))
+        entries = np.searchsorted(self.query, np.arange(self.n + 1))
+        total = np.concatenate([[0.0], np.cumsum(bound[by_bound])])
+        spare = total[1:] - total[entries[:-1]][self.query] < bar[self.query] - _MARGIN  # in the order of by_bound
+        rest = np.bincount(self.query[by_bound][spare], bound[by_bound][spare], self.n)
+        postings = _Postings(start, term * len(keys) + doc, doc, value, len(keys))
+        for part in grid.query_slices(self.n, len(keys)):
+            mine = by_bound[entries[part.start]:entries[part.stop]]
+            first = ~spare[entries[part.start]:entries[part.stop]]
+            self._score(part, mine[first], mine[~first], postings, bar, rest, keys)
+
+    def _score(self, part: slice, entries: np.ndarray, others: np.ndarray, postings: _Postings, bar: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> None:
+        n, width = part.stop - part.start, postings.width
+        sums, hit = np.zeros(n * width), np.zeros(n * width, bool)
+        for some in _groups(postings.sizes(self.term[entries])):
+            some = entries[some]
+            which, place = postings.of(self.term[some])
+            pair = (self.query[some] - part.start)[which] * width + postings.doc[place]
+            self.scored += len(pair)
+            sums += np.bincount(pair, self.weight[some][which] * postings.value[place], n * width)
+            hit[pair] = True
+        bar, rest = bar[part], rest[part]
+        open_ = np.flatnonzero(bar <= 0)  # any document may get in, those without a common word too
+        if len(open_):
+            scores = retrieval._rounded(sums.reshape(n, width)[open_])
+            rows, cols = grid.best_columns(scores, self.heads.k)
+            inside = scores[rows, cols] >= bar[open_][rows]
+            rows, cols = rows[inside], cols[inside]
+            self.heads.add(open_[rows] + part.start, scores[rows, cols], keys[cols])
+        hit.reshape(n, width)[open_] = False
+        pair = np.flatnonzero(hit)
+        row = pair // width
+        near = sums[pair] + rest[row] >= bar[row] - _MARGIN
+        pair, row = pair[near], row[near]
+        score = sums[pair]
+        if len(others) and len(pair):
+            at = np.searchsorted(self.query[others], np.arange(part.start, part.stop + 1))
+            for some in _groups(np.diff(at)[row]):
+                which, entry = _expanded(at[row[some]], np.diff(at)[row[some]])
+                entry = others[entry]
+                value = postings.lookup(self.term[entry], (pair[some] % width)[which])
+                self.scored += int(np.count_nonzero(value))
+                score[some] += np.bincount(which, self.weight[entry] * value, len(some))
+        score = retrieval._rounded(score)
+        inside = score >= bar[row]
+        self.heads.add(row[inside] + part.start, score[inside], keys[pair[inside] % width])
+
+
+@dataclass
+class _Postings:
+    """The documents of a batch by term: ascending in (term, document)."""
+
+    start: np.ndarray
+    place: np.ndarray  #: term * width + document
+    doc: np.ndarray
+    value: np.ndarray
+    width: int
+
+    def sizes(self, terms: np.ndarray) -> np.ndarray:
+        return self.start[terms + 1] - self.start[terms]
+
+    def of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _expanded(self.start[terms], self.sizes(terms))
+
+    def lookup(self, terms: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        wanted = terms * self.width + docs
+        at = np.minimum(np.searchsorted(self.place, wanted), max(0, len(self.place) - 1))
+        return np.where(self.place[at] == wanted, self.value[at], 0.0) if len(self.place) else np.zeros(len(wanted))
+
+
+def _expanded(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which range, and the place in it, of all places of the ranges."""
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[which]
+
+
+def _groups(sizes: np.ndarray) -> list[np.ndarray]:
+    """Items in groups of bounded total size (a larger one stands alone)."""
+    if not len(sizes):
+        return []
+    part = np.cumsum(sizes) // _AT_ONCE
+    return np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(part)) + 1)
+
+
+def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, corpus: Lexicon | None = None, **block_rows: int) -> DataFrame:
     """Best k documents per query (documents without a common word score 0):
-    query_key, key, score, rk. ``queries`` and ``docs`` hold key and words.
+    query_key, key, score, rk. ``queries`` and ``docs`` hold key and words; who has the
+    lexicon of ``docs`` already gives it.
 
     Joining queries and documents on common words would emit almost all pairs.
-    Here queries meet the documents batch by batch, each scored from an inverted index
-    of its own, and only k rows per query and run leave the task. Documents travel
-    without the words that no query has; a batch is bounded in rows and bytes."""
-    terms = query_terms(queries, docs).groupBy("query_key").agg(
-        F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights")
-    )
-    asking = queries.select(F.col("key").alias("query_key")).join(terms, "query_key", "left")
-    counted = docs.select("key", F.explode("words").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
-    asked = queries.select(F.explode("words").alias("term")).distinct()
-    used = counted.join(asked, "term", "left_semi").groupBy("key").agg(F.collect_list(F.struct("term", "tf")).alias("words"))
-    known = _saturation(docs).drop("words").join(used, "key", "left").select("key", "norm", F.coalesce("words", F.array().cast("array<struct<term:string,tf:bigint>>")).alias("words"))
+    Here queries meet the documents batch by batch, and only k rows per query and run
+    leave the task. Documents travel with the numbers of the words that queries have."""
+    corpus = corpus or lexicon(docs)
+    weighted = materialise(query_terms(queries, corpus), "query-terms")
+    numbers = materialise(weighted.select("term").distinct().withColumn("id", F.monotonically_increasing_id()), "term-numbers")
+    terms = weighted.join(numbers, "term").groupBy("query_key").agg(F.collect_list(F.struct("id", "weight")).alias("_t"))
+    asking = queries.select(F.col("key").alias("query_key")).join(terms, "query_key", "left").select(
+        "query_key", _or_none("_t.id", "array<bigint>").alias("terms"), _or_none("_t.weight", "array<double>").alias("weights"))
+    used = corpus.docs.select("key", F.inline("words")).join(numbers, "term").groupBy("key").agg(F.collect_list(F.struct("id", "tf")).alias("words"))
+    known = corpus.docs.select("key", _norm(corpus)).join(used, "key", "left").select("key", "norm", _or_none("words", "array<struct<id:bigint,tf:int>>").alias("words"))
 
     class Cell:
         def __init__(self, left: pa.Table):
-            self.left, self.weights = left, left["weights"].to_pylist()
-            self.vocabulary = pc.unique(pc.list_flatten(left["terms"].combine_chunks()))
-            self.term_ids = _term_ids(left["terms"], self.vocabulary)
-            self.heads = grid.Heads(len(left), k)
+            self.left, self.scorer = left, Scorer(left["terms"], left["weights"], k)
 
         def add(self, right: pa.Table) -> None:
-            index, keys = _batch_index(self.vocabulary, right["words"], right["norm"]), right["key"].to_numpy()
-            for part in grid.query_slices(len(self.left), len(keys)):
-                scores = np.zeros((part.stop - part.start, len(keys)))
-                for i in range(part.start, part.stop):
-                    _score_into(scores[i - part.start], self.term_ids[i], self.weights[i], index)
-                self.heads.offer(part, retrieval._rounded(scores), keys)
+            self.scorer.add(right["words"], right["norm"].to_numpy(), right["key"].to_numpy())
 
         def result(self) -> pa.Table:
-            h = self.heads
+            h = self.scorer.heads
             return pa.table({"query_key": self.left["query_key"].take(pa.array(h.row)), "key": pa.array(h.key, pa.string()), "score": pa.array(h.score)})
 
     hits = grid.on_grid(
@@ -104,46 +241,19 @@ def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, **block_rows: int) -
     return hits.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
 
 
-def _term_ids(terms: pa.ChunkedArray, vocabulary: pa.Array) -> list[np.ndarray]:
-    lists = terms.combine_chunks()
-    ids = pc.index_in(pc.list_flatten(lists), value_set=vocabulary).to_numpy(zero_copy_only=False)
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    return np.split(ids, np.cumsum(lengths)[:-1])
+def _or_none(x: str, kind: str) -> Column:
+    return F.coalesce(F.col(x), F.array().cast(kind))
 
 
-def _batch_index(vocabulary: pa.Array, words: pa.ChunkedArray, norm: pa.ChunkedArray) -> dict:
-    """Postings of a batch of documents for the queries' terms, by term."""
-    lists = words.combine_chunks()
-    flat = pc.list_flatten(lists)
-    term = pc.index_in(pc.struct_field(flat, "term"), value_set=vocabulary)
-    known = term.is_valid().to_numpy(zero_copy_only=False)
-    term = pc.fill_null(term, 0).to_numpy(zero_copy_only=False).astype(np.int64)[known]
-    doc = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)[known]
-    tf = pc.struct_field(flat, "tf").to_numpy(zero_copy_only=False)[known]
-    order = np.lexsort((doc, term))
-    term, doc, tf = term[order], doc[order], tf[order]
-    return {
-        "doc": doc, "value": tf * (C.BM25_K1 + 1) / (tf + norm.to_numpy()[doc]),
-        "start": np.searchsorted(term, np.arange(len(vocabulary) + 1)),
-    }
-
-
-def _score_into(row: np.ndarray, term_ids: np.ndarray, weights: list[float] | None, index: dict) -> None:
-    for term, weight in zip(term_ids, weights or ()):
-        lo, hi = index["start"][term], index["start"][term + 1]
-        row[index["doc"][lo:hi]] += weight * index["value"][lo:hi]  # a document once per term
-
-
-def bm25_of_pairs(pairs: DataFrame, queries: DataFrame, docs: DataFrame) -> DataFrame:
+def bm25_of_pairs(pairs: DataFrame, queries: DataFrame, docs: DataFrame, corpus: Lexicon | None = None) -> DataFrame:
     """Adds bm25 to given (query_key, key) rows: equi-joins on the pair's own words
     only, bounded by the candidates per query."""
+    corpus = corpus or lexicon(docs)
     wanted = pairs.select("query_key", "key")
-    used = _saturation(docs).join(wanted.select("key").distinct(), "key", "left_semi")
-    tf = used.select("key", "norm", F.explode("words").alias("term")).groupBy("key", "norm", "term").agg(
-        F.count("*").alias("tf")
-    )
+    used = corpus.docs.select("key", "words", _norm(corpus)).join(wanted.select("key").distinct(), "key", "left_semi")
+    tf = used.select("key", "norm", F.inline("words"))
     scored = (
-        wanted.join(query_terms(queries, docs), "query_key")
+        wanted.join(query_terms(queries, corpus), "query_key")
         .join(tf, ["key", "term"])
         .groupBy("query_key", "key")
         .agg(F.sum(F.col("weight") * F.col("tf") * (C.BM25_K1 + 1) / (F.col("tf") + F.col("norm"))).alias("bm25"))
@@ -162,10 +272,10 @@ def min_max(x: str, by: str = "query_key") -> Column:
 
 def hybrid_top(
     candidates: DataFrame, queries: DataFrame, corpus: DataFrame, text: str = "text_noco",
-    k: int = C.FINAL_K, share: float = 0.5,
+    k: int = C.FINAL_K, share: float = 0.5, words: Lexicon | None = None,
 ) -> DataFrame:
     """Re-rank fused candidates by rescaled rrf and BM25: adds bm25, score, rk."""
-    scored = bm25_of_pairs(candidates, tokenised(queries, text), tokenised(corpus, text))
+    scored = bm25_of_pairs(candidates, tokenised(queries, text), tokenised(corpus, text), words)
     mixed = share * min_max("rrf") + (1 - share) * min_max("bm25")
     mixed = scored.withColumn("score", S.round_half_up(mixed, grid.SCORE_DECIMALS))
     return retrieval.keep_best(mixed, k)

@@ -19,6 +19,7 @@ from triagelake.session import materialise, scratch_path
 from triagelake.sources import bindings as B
 from triagelake.sources import raw_files, tables
 from triagelake.sources.bindings import Tracker
+from triagelake.streaming import changes
 
 
 def scratch(t: Tracker, name: str) -> str:
@@ -456,6 +457,20 @@ SELECT key, {STAMP.format('created')} AS created, to_string FROM stg_changelog W
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY created, author, to_string, from_string) = 1
 """)
 query("w4_escalation", lambda t: t.change_features().select("key", "was_escalated", "was_deescalated"), "SELECT key, was_escalated, was_deescalated FROM int_changelog")
+
+
+def _streamed_changes(t: Tracker) -> DataFrame:
+    """The change events as a stream of files, one to a batch."""
+    root, typed = scratch(t, "changes"), t.changelog()
+    typed.repartitionByRange(3, "created").write.parquet(f"{root}/in")
+    changes.watch_changes(t.spark, f"{root}/in", typed.schema, f"{root}/out", f"{root}/state", "36500 days", files_per_trigger=1).awaitTermination()
+    return staging.only_known_keys(changes.current(t.spark, f"{root}/out"), t.cleaned())
+
+
+query("w4_streamed_changes", _streamed_changes, """
+SELECT key, was_escalated, was_deescalated, first_assignee FROM int_changelog
+WHERE key IN (SELECT key FROM stg_changelog WHERE upper(field) IN ('PRIORITY', 'ASSIGNEE'))
+""")
 query("w4_escalation_with_initial", lambda t: t.change_features(include_initial=True).select("key", "was_escalated", "was_deescalated"), """
 SELECT c.key, coalesce(max(CASE WHEN after > before THEN 1 ELSE 0 END), 0)::INTEGER AS was_escalated,
   coalesce(max(CASE WHEN after < before THEN 1 ELSE 0 END), 0)::INTEGER AS was_deescalated FROM int_changelog c

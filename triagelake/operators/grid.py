@@ -131,33 +131,54 @@ def _fields(batch: pa.RecordBatch, name: str) -> pa.Table:
 
 class Heads:
     """The k best rows of every query over the batches seen: score, key and what comes along.
-    Equal scores are ordered by key, in whatever order batches come."""
+    Equal scores are ordered by key, in whatever order batches come. Gathered rows wait until
+    they are as many as the heads themselves, or until ``settle``."""
 
     def __init__(self, n: int, k: int):
         self.n, self.k, self.row, self.score, self.key, self.more = n, k, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object), None
+        self.waiting, self.n_waiting, self.bars = [], 0, np.full(n, -np.inf)
 
     def add(self, rows: np.ndarray, score: np.ndarray, key: np.ndarray, *more: np.ndarray) -> None:
-        kept = self.more if self.more is not None else [m[:0] for m in more]
-        row, score, keys = np.concatenate([self.row, rows]), np.concatenate([self.score, score]), np.concatenate([self.key, key])
+        self.waiting.append((rows, score, key, *more))
+        self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        kept = self.more if self.more is not None else [m[:0] for m in self.waiting[0][3:]]
+        row, score, keys, *more = (np.concatenate(x) for x in zip((self.row, self.score, self.key, *kept), *self.waiting))
         order = _ties_by_key(np.lexsort((-score, row)), row, score, keys)
         start = np.searchsorted(row[order], np.arange(self.n))
         order = order[np.arange(len(order)) - start[row[order]] < self.k]
-        self.row, self.score, self.key = row[order], score[order], keys[order]
-        self.more = [np.concatenate([a, b])[order] for a, b in zip(kept, more)]
+        self.row, self.score, self.key, self.more = row[order], score[order], keys[order], [m[order] for m in more]
+        self.waiting, self.n_waiting = [], 0
+        start = np.searchsorted(self.row, np.arange(self.n + 1))
+        full = np.diff(start) >= self.k
+        self.bars[full] = self.score[start[1:][full] - 1]
 
     def bar(self, part: slice) -> np.ndarray:
         """What a row of each query must reach to get in."""
-        start = np.searchsorted(self.row, np.arange(part.start, part.stop + 1))
-        full = np.diff(start) >= self.k
-        out = np.full(part.stop - part.start, -np.inf)
-        out[full] = self.score[start[1:][full] - 1]
-        return out
-
-    def offer(self, part: slice, scores: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> None:
-        rows, cols = best_columns(scores, self.k)
-        inside = scores[rows, cols] >= self.bar(part)[rows]
-        rows, cols = rows[inside], cols[inside]
-        self.add(rows + part.start, scores[rows, cols], keys[cols], *(m[rows, cols] for m in more))
+        return self.bars[part].copy()
+
+    def offer(self, part: slice | np.ndarray, scores: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> None:
+        self.gather(part, scores, keys, *more)
+        self.settle()
+
+    def gather(self, part: slice | np.ndarray, scores: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> None:
+        """Scores of some queries, a range or their places, against the rows of ``keys``."""
+        bars = self.bars[part]
+        rows, cols = np.nonzero(scores >= bars[:, None])
+        if rows.size > self.k * len(scores):
+            rows, cols = best_columns(scores, self.k)
+            inside = scores[rows, cols] >= bars[rows]
+            rows, cols = rows[inside], cols[inside]
+        if not rows.size:
+            return
+        places = np.arange(part.start, part.stop) if isinstance(part, slice) else part
+        self.waiting.append((places[rows], scores[rows, cols], keys[cols], *(m[rows, cols] for m in more)))
+        self.n_waiting += rows.size
+        if self.n_waiting > self.n * self.k:
+            self.settle()
 
 
 def _ties_by_key(order: np.ndarray, row: np.ndarray, score: np.ndarray, keys: np.ndarray) -> np.ndarray:

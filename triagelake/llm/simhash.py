@@ -169,7 +169,9 @@ def link_edges(distinct: DataFrame, most: int = MAX_DIFFERENCE) -> DataFrame:
             yield links(rest_k, rest_f)
 
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+    # dealt out by a hash of the key: by the key itself, as both parts of the union may lie already, the exchange
+    # is dropped, and where their partitions are then put together differently, a key's members are apart
+    return members.repartition(parts, F.xxhash64("key")).sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
 def classed(prints: DataFrame, most: int = MAX_DIFFERENCE) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from triagelake.operators import features
@@ -62,3 +63,56 @@ def test_an_event_without_a_time_is_never_late(spark, tmp_path):
             ("K", "2024-12-01 00:00:00", "u", "assignee", None, "ann"), ("K", None, "u", "priority", None, "Major"), ("K", None, "u", "assignee", None, "bob")]
     got = run(spark, tmp_path, rows, [rows[:2], rows[2:3], rows[3:]], "1 days")
     assert got == due(spark, rows) == {"K": (1, 0, "ann")}
+
+
+class Store:
+    """A state store that counts what is asked of it."""
+
+    def __init__(self):
+        self.kept, self.calls, self.timers = {}, 0, []
+
+    def getValueState(self, name, schema):
+        return Value(self, name)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+class Value:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def get(self):
+        self.store.calls += 1
+        return self.store.kept.get(self.name)
+
+    def update(self, value):
+        self.store.calls += 1
+        self.store.kept[self.name] = value
+
+
+class Times:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_a_ticket_asks_the_store_three_times_a_batch():
+    store, processor = Store(), changes.ChangeProcessor()
+    processor.init(store)
+    row = Row("key", "_time", "at", "author", "to_string", "from_string", "rank", "kind")
+
+    def batch(watermark, *rows):
+        store.calls = 0
+        got = list(processor.handleInputRows(("K",), iter(rows), Times(watermark)))
+        assert store.calls <= 3
+        return [tuple(r) for r in got]
+
+    assert batch(0, row("K", None, 5_000_000, "u", "Minor", None, 2, "PRIORITY"), row("K", None, 6_000_000, "u", "ann", None, None, "ASSIGNEE")) == [("K", 0, 0, "ann")]
+    assert batch(0, row("K", None, 4_000_000, "u", "Major", None, 3, "PRIORITY"), row("K", None, 4_000_000, "u", "bob", None, None, "ASSIGNEE")) == [("K", 0, 1, "bob")]
+    assert store.timers == [5001]  # the one set covers the earlier event
+    assert list(processor.handleExpiredTimer(("K",), Times(5001), None)) == [] and store.kept["state"][-1] == []
+    assert batch(5001, row("K", None, None, "u", "Blocker", None, 5, "PRIORITY")) == [("K", 1, 1, "bob")] and store.timers == [5001]

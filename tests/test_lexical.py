@@ -69,3 +69,22 @@ def test_texts_are_tokenised_once(spark, monkeypatch):
     plans["search"] = best._jdf.queryExecution().optimizedPlan().toString()
     assert {name: plan.count("split(") for name, plan in plans.items() if "split(" in plan} == {"term-counts": 1, "query-terms": 1}
     assert [r.key for r in best.orderBy("rk").collect()] == ["d1", "d10", "d13"]
+
+
+def test_words_that_queries_and_texts_share_are_not_added_one_by_one():
+    """Common words reach almost every pair: bounds leave out little of them, a product sums them up."""
+    rng = np.random.default_rng(7)
+    docs = [np.concatenate([rng.choice(30, 20, replace=False), rng.integers(30, 3000, 3)]) for _ in range(400)]
+    asked = [np.unique(d) for d in docs[:80]]
+    weights = [np.where(q < 30, 1.0 + q / 50, 4.0) for q in asked]
+    keys, norm = np.array([f"d{i:04d}" for i in range(400)], object), np.full(400, C.BM25_K1)
+    scorer = lexical.Scorer(pa.chunked_array([pa.array([q.tolist() for q in asked], pa.list_(pa.int64()))]),
+                            pa.chunked_array([pa.array([w.tolist() for w in weights], pa.list_(pa.float64()))]), 5)
+    full = 0
+    for some in np.array_split(np.arange(400), 4):
+        rows = [[{"id": int(t), "tf": int(c)} for t, c in zip(*np.unique(docs[i], return_counts=True))] for i in some]
+        scorer.add(pa.chunked_array([pa.array(rows, WORDS)]), norm[some], keys[some])
+        full += sum(np.isin(q, docs[i]).sum() for q in asked for i in some)
+    h = scorer.heads
+    assert [[(-s, k) for r, s, k in zip(h.row, h.score, h.key) if r == q] for q in range(80)] == plain(list(zip(asked, weights)), docs, norm, 5, keys)
+    assert scorer.scored < full / 20

@@ -83,16 +83,21 @@ def _norm(corpus: Lexicon) -> Column:
 _MARGIN = 1e-8
 #: Contributions that are summed up at once.
 _AT_ONCE = 1 << 22
+#: A posting costs about as much as so many cells of a matrix product.
+_CELLS_A_POSTING = 512
+#: Looking one value up costs about as much as adding so many postings.
+_POSTINGS_A_LOOKUP = 4
 
 
 class Scorer:
     """BM25 of a block of queries against batches of documents; terms are numbers.
 
-    The largest value of a term in a batch bounds what it can add there. Of a query whose
+    Terms that many queries and many documents of a batch share are summed up by a matrix
+    product, all others posting by posting. The largest value of a term in a batch bounds what it can add there. Of a query whose
     list is full, the terms whose bounds together stay under the bar can lift no
-    document into the list by themselves: only documents with one of the other terms
-    are scored, those terms first, and the rest only where the sum can still reach the
-    bar. Nothing that could get in is left out, so the lists are exact."""
+    document into the list by themselves: the other terms and the product come first, and
+    what is left only where the sum can still reach the bar. Nothing that could get in is
+    left out, so the lists are exact."""
 
     def __init__(self, terms: pa.ChunkedArray, weights: pa.ChunkedArray, k: int):
         terms, weights = terms.combine_chunks(), weights.combine_chunks()
@@ -102,7 +107,7 @@ class Scorer:
         self.weight = pc.list_flatten(weights).to_numpy(zero_copy_only=False)
         self.vocabulary, self.term = np.unique(ids, return_inverse=True)
         self.heads = grid.Heads(self.n, k)
-        self.scored = 0  #: postings that were added to a score
+        self.scored = 0  #: postings that were added to a score one by one
 
     def add(self, words: pa.ChunkedArray, norm: np.ndarray, keys: np.ndarray) -> None:
         lists, size = words.combine_chunks(), len(self.vocabulary)
@@ -125,23 +130,44 @@ class Scorer:
         entries = np.searchsorted(self.query, np.arange(self.n + 1))
         total = np.concatenate([[0.0], np.cumsum(bound[by_bound])])
         spare = total[1:] - total[entries[:-1]][self.query] < bar[self.query] - _MARGIN  # in the order of by_bound
-        rest = np.bincount(self.query[by_bound][spare], bound[by_bound][spare], self.n)
+        column, cells = self._in_common(start, term, doc, value, len(keys))
+        alone = column[self.term[by_bound]] < 0
+        rest = np.bincount(self.query[by_bound][spare & alone], bound[by_bound][spare & alone], self.n)
         postings = _Postings(start, term * len(keys) + doc, doc, value, len(keys))
         for part in grid.query_slices(self.n, len(keys)):
-            mine = by_bound[entries[part.start]:entries[part.stop]]
-            first = ~spare[entries[part.start]:entries[part.stop]]
-            self._score(part, mine[first], mine[~first], postings, bar, rest, keys)
-
-    def _score(self, part: slice, entries: np.ndarray, others: np.ndarray, postings: _Postings, bar: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> None:
+            inside = slice(entries[part.start], entries[part.stop])
+            mine, first, single = by_bound[inside], ~spare[inside], alone[inside]
+            weights = np.zeros((part.stop - part.start, len(cells)))
+            weights[self.query[mine[~single]] - part.start, column[self.term[mine[~single]]]] = self.weight[mine[~single]]
+            self._score(part, (weights @ cells).ravel(), mine[single & first], mine[single & ~first], postings, bar, rest, keys)
+
+    def _in_common(self, start: np.ndarray, term: np.ndarray, doc: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The terms that a product sums up at less cost than their postings, those with the
+        most postings first as far as the matrix may grow: their rows (-1: none) and the matrix."""
+        size = len(self.vocabulary)
+        work = np.diff(start) * np.bincount(self.term, minlength=size)
+        most = grid.SCORE_CELLS // max(1, self.n, width)
+        found = np.argsort(-work, kind="stable")[:most]
+        found = found[work[found] * _CELLS_A_POSTING > self.n * width]
+        column = np.full(size, -1)
+        column[found] = np.arange(len(found))
+        cells = np.zeros((len(found), width))
+        held = np.flatnonzero(column[term] >= 0) if size else np.zeros(0, np.int64)
+        cells[column[term[held]], doc[held]] = value[held]
+        return column, cells
+
+    def _score(self, part: slice, sums: np.ndarray, entries: np.ndarray, others: np.ndarray, postings: _Postings, bar: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> None:
         n, width = part.stop - part.start, postings.width
-        sums, hit = np.zeros(n * width), np.zeros(n * width, bool)
-        for some in _groups(postings.sizes(self.term[entries])):
-            some = entries[some]
-            which, place = postings.of(self.term[some])
-            pair = (self.query[some] - part.start)[which] * width + postings.doc[place]
-            self.scored += len(pair)
-            sums += np.bincount(pair, self.weight[some][which] * postings.value[place], n * width)
-            hit[pair] = True
+
+        def add_all(entries: np.ndarray) -> None:
+            for some in _groups(postings.sizes(self.term[entries])):
+                some = entries[some]
+                which, place = postings.of(self.term[some])
+                pair = (self.query[some] - part.start)[which] * width + postings.doc[place]
+                self.scored += len(pair)
+                sums[:] += np.bincount(pair, self.weight[some][which] * postings.value[place], n * width)
+
+        add_all(entries)
         bar, rest = bar[part], rest[part]
         open_ = np.flatnonzero(bar <= 0)  # any document may get in, those without a common word too
         if len(open_):
@@ -150,14 +176,16 @@ class Scorer:
             inside = scores[rows, cols] >= bar[open_][rows]
             rows, cols = rows[inside], cols[inside]
             self.heads.add(open_[rows] + part.start, scores[rows, cols], keys[cols])
-        hit.reshape(n, width)[open_] = False
-        pair = np.flatnonzero(hit)
+        near = sums.reshape(n, width) >= (bar - rest - _MARGIN)[:, None]
+        near[open_] = False
+        pair = np.flatnonzero(near)
         row = pair // width
-        near = sums[pair] + rest[row] >= bar[row] - _MARGIN
-        pair, row = pair[near], row[near]
+        at = np.searchsorted(self.query[others], np.arange(part.start, part.stop + 1))
+        if np.diff(at)[row].sum() * _POSTINGS_A_LOOKUP > postings.sizes(self.term[others]).sum():
+            add_all(others)
+            others = others[:0]
         score = sums[pair]
         if len(others) and len(pair):
-            at = np.searchsorted(self.query[others], np.arange(part.start, part.stop + 1))
             for some in _groups(np.diff(at)[row]):
                 which, entry = _expanded(at[row[some]], np.diff(at)[row[some]])
                 entry = others[entry]

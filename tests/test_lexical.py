@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -88,3 +90,33 @@ def test_words_that_queries_and_texts_share_are_not_added_one_by_one():
     h = scorer.heads
     assert [[(-s, k) for r, s, k in zip(h.row, h.score, h.key) if r == q] for q in range(80)] == plain(list(zip(asked, weights)), docs, norm, 5, keys)
     assert scorer.scored < full / 20
+
+
+def test_words_of_pairs_move_as_one_row_a_pair(spark, monkeypatch):
+    """No exchange deals out the words of all pairs; rows of one key add up as in a join, null keys get 0."""
+    monkeypatch.setattr(lexical, "_WORDS_AT_ONCE", 5, raising=False)
+    texts = [("d0", "red red fox"), ("d1", "blue fox runs"), ("d1", "blue fox runs"), ("d1", "red"), ("d2", ""), (None, "red fox"), ("d3", "owl")]
+    docs = spark.createDataFrame(texts, "key string, text string")
+    asked = [("q0", "red fox fox"), ("q1", "blue"), ("q1", "blue runs"), ("q2", "zebra"), ("q3", None), (None, "red")]
+    asks = spark.createDataFrame(asked, "key string, text string")
+    pairs = [(q, d) for q in ("q0", "q1", "q2", "q3", "q9", None) for d in ("d0", "d1", "d2", "d3", None)] + [("q0", "d0")]
+    split = [t.split() for _, t in texts]
+    mean, df = sum(map(len, split)) / len(split), {w: sum(w in t for t in split) for t in split for w in t}
+    raw = {w: np.log(len(split) - n + 0.5) - np.log(n + 0.5) for w, n in df.items()}
+    idf = {w: v if v >= 0 else 0.25 * np.mean(list(raw.values())) for w, v in raw.items()}
+
+    def due(q, d):
+        each = [sum(idf.get(w, 0) * t.count(w) * 2.5 / (t.count(w) + 1.5 * (0.25 + 0.75 * len(t) / mean)) for w in (a or "").split())
+                for k, a in asked if k == q is not None for key, t in zip((k for k, _ in texts), split) if key == d is not None]
+        return sum(each) * pairs.count((q, d))
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = lexical.bm25_of_pairs(spark.createDataFrame(pairs, "query_key string, key string"), lexical.tokenised(asks, "text"), lexical.tokenised(docs, "text"))
+        plan, rows = scored._jdf.queryExecution().executedPlan().toString(), scored.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    order = lambda r: [str(x) for x in r[:2]]
+    assert sorted([(r.query_key, r.key, r.bm25) for r in rows], key=order) == sorted([(q, d, pytest.approx(due(q, d), abs=2e-9)) for q, d in pairs], key=order)
+    assert not re.search(r"hashpartitioning\((query_)?key#\d+, term#\d+", plan)

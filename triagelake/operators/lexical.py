@@ -73,6 +73,15 @@ def query_terms(queries: DataFrame, corpus: Lexicon) -> DataFrame:
     return said.join(corpus.idf, "term").select("query_key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
+def _numbered(queries: DataFrame, corpus: Lexicon) -> tuple[DataFrame, DataFrame]:
+    """A number for every term of a query (term, id), stored, and the queries' terms by
+    number (query_key, terms, weights)."""
+    weighted = materialise(query_terms(queries, corpus), "query-terms")
+    numbers = materialise(weighted.select("term").distinct().withColumn("id", F.monotonically_increasing_id()), "term-numbers")
+    terms = weighted.join(numbers, "term").groupBy("query_key").agg(F.collect_list(F.struct("id", "weight")).alias("_t"))
+    return numbers, terms.select("query_key", F.col("_t.id").alias("terms"), F.col("_t.weight").alias("weights"))
+
+
 def _norm(corpus: Lexicon) -> Column:
     """The length part of the term-frequency denominator."""
     mean = corpus.docs.agg(F.avg("length")).scalar()
@@ -242,11 +251,9 @@ def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, corpus: Lexicon | No
     Here queries meet the documents batch by batch, and only k rows per query and run
     leave the task. Documents travel with the numbers of the words that queries have."""
     corpus = corpus or lexicon(docs)
-    weighted = materialise(query_terms(queries, corpus), "query-terms")
-    numbers = materialise(weighted.select("term").distinct().withColumn("id", F.monotonically_increasing_id()), "term-numbers")
-    terms = weighted.join(numbers, "term").groupBy("query_key").agg(F.collect_list(F.struct("id", "weight")).alias("_t"))
+    numbers, terms = _numbered(queries, corpus)
     asking = queries.select(F.col("key").alias("query_key")).join(terms, "query_key", "left").select(
-        "query_key", _or_none("_t.id", "array<bigint>").alias("terms"), _or_none("_t.weight", "array<double>").alias("weights"))
+        "query_key", _or_none("terms", "array<bigint>").alias("terms"), _or_none("weights", "array<double>").alias("weights"))
     used = corpus.docs.select("key", F.inline("words")).join(numbers, "term").groupBy("key").agg(F.collect_list(F.struct("id", "tf")).alias("words"))
     known = corpus.docs.select("key", _norm(corpus)).join(used, "key", "left").select("key", "norm", _or_none("words", "array<struct<id:bigint,tf:int>>").alias("words"))
 
@@ -273,24 +280,63 @@ def _or_none(x: str, kind: str) -> Column:
     return F.coalesce(F.col(x), F.array().cast(kind))
 
 
+_BOTH = "query_key string, key string, bm25 double"
+#: Words of pairs that are looked up at once.
+_WORDS_AT_ONCE = 1 << 20
+
+
 def bm25_of_pairs(pairs: DataFrame, queries: DataFrame, docs: DataFrame, corpus: Lexicon | None = None) -> DataFrame:
-    """Adds bm25 to given (query_key, key) rows: equi-joins on the pair's own words
-    only, bounded by the candidates per query."""
+    """Adds bm25 to given (query_key, key) rows. A pair meets its document's words as one
+    row of numbers, and so its query's: bounded by the candidates per query."""
     corpus = corpus or lexicon(docs)
     wanted = pairs.select("query_key", "key")
+    numbers, asked = _numbered(queries, corpus)
     used = corpus.docs.select("key", "words", _norm(corpus)).join(wanted.select("key").distinct(), "key", "left_semi")
-    tf = used.select("key", "norm", F.inline("words"))
-    scored = (
-        wanted.join(query_terms(queries, corpus), "query_key")
-        .join(tf, ["key", "term"])
-        .groupBy("query_key", "key")
-        .agg(F.sum(F.col("weight") * F.col("tf") * (C.BM25_K1 + 1) / (F.col("tf") + F.col("norm"))).alias("bm25"))
-    )
+    # rows of one key and norm are one: their words add up
+    known = used.select("key", "norm", F.inline("words")).join(numbers, "term").groupBy("key", "norm").agg(
+        F.collect_list("id").alias("id"), F.collect_list("tf").alias("tf"))
+    scored = wanted.join(known, "key").join(asked, "query_key").mapInArrow(_scores_of_pairs, _BOTH)
+    scored = scored.groupBy("query_key", "key").agg(F.sum("bm25").alias("bm25"))
     return pairs.join(scored, ["query_key", "key"], "left").withColumn(
         "bm25", S.round_half_up(F.coalesce("bm25", F.lit(0.0)), grid.SCORE_DECIMALS)
     )
 
 
+def _scores_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size = sum(_lengths(batch.column(n)) for n in ("id", "terms"))
+        part = np.cumsum(size) // _WORDS_AT_ONCE
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            some = batch.slice(lo, hi - lo)
+            yield pa.record_batch([some.column("query_key"), some.column("key"), pa.array(_sums(some), pa.float64())], ["query_key", "key", "bm25"])
+
+
+def _lengths(lists: pa.ListArray) -> np.ndarray:
+    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _sums(batch: pa.RecordBatch) -> np.ndarray:
+    """The score of every row: its words are found among its query's by row and number."""
+    def flat(name: str) -> np.ndarray:
+        return pc.list_flatten(batch.column(name)).to_numpy(zero_copy_only=False)
+
+    def rows(name: str) -> np.ndarray:
+        return np.repeat(np.arange(batch.num_rows), _lengths(batch.column(name)))
+
+    vocabulary, code = np.unique(flat("terms"), return_inverse=True)
+    at = np.searchsorted(vocabulary, flat("id"))
+    known = np.append(vocabulary, -1)[at] == flat("id")
+    row, tf = rows("id")[known], flat("tf")[known]
+    asked, place = np.unique(rows("terms") * len(vocabulary) + code, return_inverse=True)
+    weight = np.bincount(place, flat("weights"), len(asked))
+    wanted = row * len(vocabulary) + at[known]
+    at = np.searchsorted(asked, wanted)
+    hit = np.append(asked, -1)[at] == wanted
+    row, tf, norm = row[hit], tf[hit], batch.column("norm").to_numpy(zero_copy_only=False)
+    return np.bincount(row, weight[at[hit]] * tf * (C.BM25_K1 + 1) / (tf + norm[row]), batch.num_rows)
+
+
 def min_max(x: str, by: str = "query_key") -> Column:
     """Rescale to [0, 1] inside a query's candidates; a flat range gives 0."""
     w = Window.partitionBy(by)

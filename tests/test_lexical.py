@@ -120,3 +120,13 @@ def test_words_of_pairs_move_as_one_row_a_pair(spark, monkeypatch):
     order = lambda r: [str(x) for x in r[:2]]
     assert sorted([(r.query_key, r.key, r.bm25) for r in rows], key=order) == sorted([(q, d, pytest.approx(due(q, d), abs=2e-9)) for q, d in pairs], key=order)
     assert not re.search(r"hashpartitioning\((query_)?key#\d+, term#\d+", plan)
+
+
+def test_words_given_twice_count_twice():
+    scorer = lexical.Scorer(pa.chunked_array([pa.array([[1, 2, 1], [1]] * 20, pa.list_(pa.int64()))]),
+                            pa.chunked_array([pa.array([[1.0, 2.0, 1.0], [3.0]] * 20, pa.list_(pa.float64()))]), 2)
+    rows = [[{"id": 1, "tf": 1}, {"id": 1, "tf": 1}, {"id": 2, "tf": 2}], [{"id": 1, "tf": 1}]]
+    scorer.add(pa.chunked_array([pa.array(rows, WORDS)]), np.array([1.5, 1.5]), np.array(["a", "b"], object))
+    one, two = 2.5 / 2.5, 5 / 3.5
+    assert scorer.heads.score.tolist() == pytest.approx([4 * one + 2 * two, 2 * one, 6 * one, 3 * one] * 20, abs=1e-8)
+    assert scorer.scored == 0

@@ -147,7 +147,8 @@ class Scorer:
             inside = slice(entries[part.start], entries[part.stop])
             mine, first, single = by_bound[inside], ~spare[inside], alone[inside]
             weights = np.zeros((part.stop - part.start, len(cells)))
-            weights[self.query[mine[~single]] - part.start, column[self.term[mine[~single]]]] = self.weight[mine[~single]]
+            shared = mine[~single]  # rows of one key have their words twice
+            np.add.at(weights, (self.query[shared] - part.start, column[self.term[shared]]), self.weight[shared])
             self._score(part, (weights @ cells).ravel(), mine[single & first], mine[single & ~first], postings, bar, rest, keys)
 
     def _in_common(self, start: np.ndarray, term: np.ndarray, doc: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +163,7 @@ class Scorer:
         column[found] = np.arange(len(found))
         cells = np.zeros((len(found), width))
         held = np.flatnonzero(column[term] >= 0) if size else np.zeros(0, np.int64)
-        cells[column[term[held]], doc[held]] = value[held]
+        np.add.at(cells, (column[term[held]], doc[held]), value[held])
         return column, cells
 
     def _score(self, part: slice, sums: np.ndarray, entries: np.ndarray, others: np.ndarray, postings: _Postings, bar: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> None:

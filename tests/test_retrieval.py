@@ -68,6 +68,29 @@ def test_rows_that_leave_the_first_pass_do_not_grow_with_the_corpus(spark, monke
     assert made == [20 * 2 * 3 * 6] * 2
 
 
+def test_rows_moved_grow_with_the_tables_not_faster(spark):
+    answers, moved = 2 * retrieval.head_size(60, 30), []
+    for q, n in ((1249, 5128), (6417, 25586)):  # both about five times as many
+        blocks, runs = spark.range(1).select(*grid._sizes(spark.range(q), spark.range(n), grid.QUERY_BLOCK_ROWS, None, answers=answers)).first()
+        assert blocks * grid.QUERY_BLOCK_ROWS >= q and blocks * runs >= spark.sparkContext.defaultParallelism
+        moved.append(n * blocks + q * runs * (1 + answers / grid.ANSWERS_A_ROW))
+    assert moved[1] / moved[0] < 6417 / 1249
+    assert tuple(spark.range(1).select(*grid._sizes(spark.range(0), spark.range(0), 5, None, answers=answers)).first()) == (1, 1)
+
+
+def test_only_contenders_without_a_rank_meet_the_corpus(spark, monkeypatch):
+    _, queries = frame(spark, "q", 5, 1)
+    _, corpus = frame(spark, "c", 60, 2)
+    seen, real = [], grid.on_grid
+    monkeypatch.setattr(grid, "on_grid", lambda *a, **more: seen.append(a) or real(*a, **more))
+    for same in (False, True):
+        sides = [df.withColumn("vec_b", F.col("vec_a")) if same else df for df in (queries, corpus)]
+        retrieval.rrf_top(*sides, k=5, top=4).count()
+        asked = [c for r in seen[-1][0].collect() for c in r.contenders]
+        assert set(seen[-1][0].schema["contenders"].dataType.elementType.names) == {"pos", "key", "in_a", "sim"}
+        assert bool(asked) is not same
+
+
 @pytest.mark.parametrize("seed, n, k, top, ties", [(1, 90, 5, 4, False), (2, 60, 2, 3, True), (3, 200, 60, 5, False), (4, 7, 60, 30, False)])
 def test_rrf_equals_brute_force_over_many_blocks(spark, monkeypatch, seed, n, k, top, ties):
     queries, qdf = frame(spark, "q", 9, seed, ties=ties)

@@ -1,12 +1,13 @@
 """Grid for exact scoring of every query against every corpus row.
 
 Neither side is collected or broadcast. Queries are hashed into blocks of bounded
-size, the corpus into as many runs as there are cores to use. A cell is one query
-block and one run: its task holds the queries, streams the run batch by batch, scores
-each batch with numpy and keeps what can still reach a result. A cell emits once, at
-its end, a few rows per query, so output grows with the number of runs (that is, of
-cores), not with the corpus; a corpus row is sent once per query block, a query row
-once per run.
+size, the corpus into runs, so that there are as many cells as cores to use. A cell is
+one query block and one run: its task holds the queries, streams the run batch by
+batch, scores each batch with numpy and keeps what can still reach a result. A cell
+emits once, at its end, a few rows per query, so output grows with the number of runs,
+not with the corpus; a corpus row is sent once per query block, a query row once per
+run. Where answers are many, blocks and runs are weighed against each other so that
+the least is moved.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ from triagelake.session import ship_package
 QUERY_BLOCK_ROWS = 5_000
 # corpus rows below which a further run is of no use
 SMALL_RUN_ROWS = 2_000
+# queries below which a further block is of no use, but for memory
+SMALL_BLOCK_ROWS = 100
+# answers that cost as much to move as a corpus row of two views of 32 doubles
+ANSWERS_A_ROW = 16
 # doubles in one score matrix inside a task (64 MB)
 SCORE_CELLS = 8_000_000
 # similarities are compared after rounding, so that the order does not depend on
@@ -42,8 +47,14 @@ class Cell(Protocol):
     def result(self) -> pa.Table: ...
 
 
-def _sizes(queries: DataFrame, corpus: DataFrame, query_rows: int, runs: int | None) -> tuple[Column, Column]:
-    """Numbers of query blocks and of runs, as scalar subqueries inside the job."""
+def _sizes(
+    queries: DataFrame, corpus: DataFrame, query_rows: int, runs: int | None, answers: int = 0
+) -> tuple[Column, Column]:
+    """Numbers of query blocks and of runs, as scalar subqueries inside the job.
+
+    b blocks and r runs move the corpus b times and the queries with their answers r
+    times. With b * r = cores that is least where both cost the same; it then grows with
+    the tables, until the blocks are as many as the cores by their bounded size alone."""
     cores = queries.sparkSession.sparkContext.defaultParallelism
     blocks = F.greatest(F.ceil(F.count("*") / query_rows), F.lit(1)).cast("int")
     n_query = queries.agg(blocks).scalar()
@@ -51,21 +62,30 @@ def _sizes(queries: DataFrame, corpus: DataFrame, query_rows: int, runs: int | N
         return n_query, F.lit(runs)
     useful = F.greatest(F.ceil(F.count("*") / SMALL_RUN_ROWS), F.lit(1)).cast("int")
     n_corpus = corpus.agg(useful).scalar()
-    return n_query, F.least(n_corpus, F.greatest(F.ceil(F.lit(cores) / n_query), F.lit(1)).cast("int"))
+    most = F.least(n_corpus, F.greatest(F.ceil(F.lit(cores) / n_query), F.lit(1)).cast("int"))
+    if not answers:
+        return n_query, most
+    asked, known = (F.greatest(df.agg(F.count("*")).scalar(), F.lit(1)).cast("double") for df in (queries, corpus))
+    even = F.round(F.sqrt(cores * known / (asked * (1 + answers / ANSWERS_A_ROW)))).cast("int")
+    n_runs = F.least(most, F.greatest(even, F.lit(1)))
+    spread = F.least(F.ceil(F.lit(cores) / n_runs), F.ceil(asked / SMALL_BLOCK_ROWS)).cast("int")
+    return F.greatest(n_query, spread), n_runs
 
 
 def on_grid(
     queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
     make_cell: Callable[[pa.Table], Cell], schema: str,
     query_rows: int = QUERY_BLOCK_ROWS, runs: int | None = None, sized_by: DataFrame | None = None, stored: bool = False,
+    answers: int = 0,
 ) -> DataFrame:
-    """Run ``make_cell(query block)`` on every run of the corpus. ``runs`` sets their number.
+    """Run ``make_cell(query block)`` on every run of the corpus. ``runs`` sets their number,
+    otherwise ``answers``, the rows that a cell may emit or carry a query, helps to choose it.
     With ``stored`` the corpus is a table whose files are the runs: it stays where it
     is, and the queries, one block that the caller has counted, are sent to its tasks."""
     ship_package(queries.sparkSession)
     if stored:
         return _on_stored(queries, corpus, key, make_cell, schema, query_rows)
-    n_query, n_runs = _sizes(sized_by if sized_by is not None else queries.select(query_key), corpus.select(key), query_rows, runs)
+    n_query, n_runs = _sizes(sized_by if sized_by is not None else queries.select(query_key), corpus.select(key), query_rows, runs, answers)
 
     def placed(df: DataFrame, side: int, own: str, by: str, other: str) -> DataFrame:
         # fresh column ids: both sides may stem from one table

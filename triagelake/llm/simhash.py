@@ -135,10 +135,11 @@ def link_edges(distinct: DataFrame, most: int = MAX_DIFFERENCE) -> DataFrame:
     counted = table.groupBy("key").agg(F.count("*").alias("n"))
     # a probe's own key is met by itself; only keys that others have too are of use
     probes = table.select("fp", F.col("key").alias("own"), F.explode(F.array(*[F.col("key").bitwiseXOR(F.lit(m)) for m in masks])).alias("key"))
-    met = probes.join(counted, "key").where("key <> own OR n > 1").select("key", "fp")
+    # merged: a size guessed after an explode is that of a row a fingerprint, not of 66, and would be sent to all tasks
+    met = probes.join(counted.hint("merge"), "key").where("key <> own OR n > 1").select("key", "fp")
     # the fingerprints of the table that a probe of another segment value meets
     asked = met.select("key").distinct()
-    members = met.unionByName(table.join(asked, "key", "left_semi").select("key", "fp"))
+    members = met.unionByName(table.join(asked.hint("merge"), "key", "left_semi").select("key", "fp"))
     target = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

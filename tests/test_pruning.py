@@ -156,3 +156,32 @@ def test_fusion_of_clustered_vectors_is_the_plain_one_and_counts_few(spark, monk
     assert cell.tally.pairs == 2 * 500 * 1000 and cell.tally.scored <= cell.tally.pairs
     if case == "one topic":
         assert cell.tally.scored < cell.tally.pairs / 2
+
+
+def test_only_products_near_a_bar_are_rounded_and_rounding_decides(spark, monkeypatch):
+    """Rows come in bundles whose products differ after the ninth decimal alone."""
+    rng, n, m = np.random.default_rng(3), 100, 4000
+    queries = unit(rng.normal(size=(n, 8)))
+    corpus = unit(rng.normal(size=(m // 40, 8)))[np.arange(m) % (m // 40)] + 4e-10 * rng.normal(size=(m, 8))
+    sizes, plain = [], retrieval._rounded
+    monkeypatch.setattr(retrieval, "_rounded", lambda x: sizes.append(np.size(x)) or plain(x))
+    patch = pytest.MonkeyPatch()
+    empty = spark.createDataFrame([], "key string, vec_a array<double>, vec_b array<double>")
+    top = cell_of(patch, lambda: retrieval.top_k(empty, empty, "vec_a", 30))(table("query_key", vec_a=queries))
+    heads = cell_of(patch, lambda: retrieval.list_heads(empty, empty, 30, VIEWS))(table("query_key", vec_a=queries, vec_b=queries))
+    for batch in batches(table("key", vec_a=corpus, vec_b=corpus), 1000):
+        top.add(batch)
+        heads.add(batch)
+    scores = rounded(queries @ corpus.T)
+    due = {(f"q{i:05d}", f"k{j:05d}") for i in range(n) for j in np.lexsort((np.arange(m), -scores[i]))[:30]}
+    assert {(r["query_key"], r["key"]) for r in top.result().to_pylist()} == due
+    assert {(r["query_key"], r["key"]) for r in heads.result().to_pylist() if r["view"] == 0} == due
+    # the rows ahead of some contenders of a query
+    at = rng.choice(m, 50, replace=False)
+    asked = pa.chunked_array([pa.array([[{"pos": i, "key": f"k{j:05d}", "in_a": True, "sim": scores[0, j]} for i, j in enumerate(at)]])])
+    counted = retrieval._Contenders(asked)
+    counted.see(np.array([f"k{j:05d}" for j in range(m)], object))
+    counted.count(np.arange(50), np.zeros(50, int), queries[:1] @ corpus.T, np.arange(m), retrieval._near(queries, corpus))
+    order = np.lexsort((np.arange(m), -scores[0]))
+    assert counted.ahead.tolist() == [int(np.flatnonzero(order == j)[0]) for j in at]
+    assert sum(sizes) < 3 * n * m / 4  # of three products a pair
